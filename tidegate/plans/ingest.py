@@ -87,6 +87,7 @@ class IngestConfig:
     """Everything that decides what lands where."""
 
     tables: dict[str, TableSpec]
+    targets: dict[str, TableSpec] = field(default_factory=dict)  # written by post-processing only
     mapping: dict[str, str] = field(default_factory=dict)
     topics: tuple[str, ...] | None = None  # subscribed topics; None takes all
     profile: str = "sql"

@@ -8,6 +8,7 @@ from uuid import uuid4
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.types import SchemaError, TableSpec
@@ -80,8 +81,6 @@ def _ingest_table(records: DataFrame, epoch: str, table: str, config: IngestConf
 
 
 def _staged_dead(store: TableStore, change: Change, table: str) -> DataFrame:
-    from pyspark.sql import functions as F
-
     names = ("topic", "partition", "offset", "message")
     staged = store.spark.read.schema("_topic string, _partition int, _offset bigint, _message string")
     return staged.parquet(change.path).select(*[F.col(f"_{n}").alias(n) for n in names], F.lit(table).alias("table"))
@@ -98,7 +97,7 @@ def run_script(
     spec = config.tables[script.table]
     landed = [c.path for c in changes if c.kind == "landed" and c.name == script.table]
     batch = store.spark.read.schema(spec.schema).parquet(*landed)
-    # A session of its own, so that the views cannot clash with the user's.
+    # A micro-batch has a session of its own, so the views do not clash with the user's.
     session = batch.sparkSession
     views = []
     try:
@@ -107,7 +106,7 @@ def run_script(
         else:
             batch.createOrReplaceTempView("batch")
             views.append("batch")
-            for name, table in config.tables.items():
+            for name, table in {**config.targets, **config.tables}.items():
                 if not re.search(rf"(?<!\w){re.escape(name)}(?!\w)", script.sql):
                     continue
                 view = store.read(table)
@@ -118,7 +117,8 @@ def run_script(
             result = session.sql(script.text(batch_id))
         if script.target is None or result is None:
             return []
-        target = config.tables.get(script.target) or TableSpec.from_spark(script.target, result.schema)
+        known = {**config.tables, **config.targets}
+        target = known.get(script.target) or TableSpec.from_spark(script.target, result.schema)
         if script.keys:
             update = list(script.update) if script.update is not None else None
             return store.stage_merge(batch_id, result, target, list(script.keys), update)
@@ -142,13 +142,17 @@ def start_ingest(
 ) -> StreamingQuery:
     """Start the ingest. The mapping and tables are not part of the checkpoint and may change between runs."""
 
+    store = TableStore(stream.sparkSession, root, merge_buckets)
+
     def run(batch: DataFrame, batch_number: int) -> None:
+        nonlocal store
         session = batch.sparkSession
+        store = store.using(session)
         query = session.sparkContext.getLocalProperty("sql.streaming.queryId")
         epoch = f"{query}-{batch_number}"
         if config.delivery == "at_least_once":
             epoch = f"{epoch}-{uuid4().hex[:12]}"
-        ingest_batch(batch, epoch, config, TableStore(session, root, merge_buckets))
+        ingest_batch(batch, epoch, config, store)
 
     writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     if available_now:

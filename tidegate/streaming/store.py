@@ -12,10 +12,11 @@ committed. One writer per store, as with a streaming checkpoint.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,9 +26,22 @@ from ..operators import merge, offsets
 from ..operators.decode import ERROR, SRC
 
 COMMIT_SCHEMA = "epoch string, kind string, name string, path string, bucket int, records bigint"
+_LOG_FIELDS = ("epoch", "kind", "name", "path", "bucket", "records", "seq")
 DEAD_FIELDS = ("column", "declared_type", "reason")
 
 
+@contextmanager
+def _two_open_files(spark: SparkSession):
+    """Let a task keep one file per outcome open, instead of sorting its rows by outcome first."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    spark.conf.set(key, 2)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 @dataclass(frozen=True)
 class Change:
     """One thing an epoch publishes: kind is landed, dead, merged or ledger."""
@@ -42,11 +56,11 @@ class Change:
 class TableStore:
     def __init__(self, spark: SparkSession, root: str, merge_buckets: int = 64):
         self.spark, self.root, self.merge_buckets = spark, root.rstrip("/"), merge_buckets
-        self._log: list[T.Row] | None = None
+        self._log: list[Row] | None = None
 
     # --- log ---
 
-    def log(self) -> list[T.Row]:
+    def log(self) -> list[Row]:
         """All published changes, oldest first: a few short rows per epoch."""
         if self._log is None:
             try:
@@ -72,7 +86,13 @@ class TableStore:
             rows = [(epoch, "empty", "", "", None, 0)]
         frame = self.spark.createDataFrame(rows, COMMIT_SCHEMA).coalesce(1)
         frame.write.mode("errorifexists").json(f"{self.root}/commits/seq={seq}")
-        self.refresh()
+        self._log = [*self.log(), *[Row(*_LOG_FIELDS)(*row, seq) for row in rows]]
+
+    def using(self, spark: SparkSession) -> "TableStore":
+        """The same store through another session (a micro-batch has its own); the log stays cached."""
+        other = TableStore(spark, self.root, self.merge_buckets)
+        other._log = self._log
+        return other
 
     def _paths(self, kind: str, name: str) -> list[str]:
         return [r["path"] for r in self.log() if r["kind"] == kind and r["name"] == name]
@@ -145,8 +165,8 @@ class TableStore:
         return self._write_outcomes(out, f"{self.root}/data/{table}/{epoch}-failed", table)
 
     def _write_outcomes(self, out: DataFrame, path: str, table: str) -> list[Change]:
-        # Two writers per task, one per outcome, instead of a sort by outcome.
-        out.write.mode("overwrite").option("maxConcurrentOutputFileWriters", 2).partitionBy("outcome").parquet(path)
+        with _two_open_files(self.spark):
+            out.write.mode("overwrite").partitionBy("outcome").parquet(path)
         written = self.staged_offsets(path).groupBy("outcome").agg(F.sum("records").alias("n")).collect()
         return [Change(r["outcome"], table, f"{path}/outcome={r['outcome']}", None, r["n"]) for r in written]
 

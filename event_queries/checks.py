@@ -200,7 +200,7 @@ ORACLES = {
             from (select user_id, count(*) as n from events where day(ts) >= 16 group by 1) c
             left join (select user_id, count(*) as n from events where day(ts) < 15 and user_id % 10 > 0 group by 1) b
             on c.user_id = b.user_id)""",
-    "sequence_log": """select id, rpad('record-' || id, greatest(12, length('record-' || id)), 'x') as name,
+    "sequence_log": """select id, rpad('record-' || id, cast(greatest(12, length('record-' || id)) as integer), 'x') as name,
         id * cast(1.1 as double) as value, (id + 1704067200) * 1000000 as "timestamp"
         from (select event_id + 1 as id from events)""",
     "csv_replay": """select m as message, c_name from (select unnest(range(3 * count(*) + 7)) as m, count(*) as n

@@ -390,8 +390,8 @@ _EVENT_COLUMNS = """select '{p}' as profile, event_id, user_id, cast(cast(value
 ORACLES = {f"coerce_{k}": _oracle(k) for k in CASES}
 ORACLES |= {f"coerce_array_{k}": _array_oracle(k) for k in ARRAYS}
 ORACLES |= {
-    "coerce_timestamp_magnitude": """select event_id, at, at as tz from (select event_id,
-        case when event_id % 2 = 0 then epoch_us(ts) // 1000 * 1000 else epoch_us(ts) end as at from events)""",
+    "coerce_timestamp_magnitude": """select event_id, n as "at", n as tz from (select event_id,
+        case when event_id % 2 = 0 then epoch_us(ts) // 1000 * 1000 else epoch_us(ts) end as n from events)""",
     "decimal_half_up": """select event_id, cast(case when event_id % 2 = 0 then 1 else -1 end
         * (cast(value as decimal(12,2)) + cast(0.01 as decimal(12,2))) as varchar) as v from events""",
     "json_round_trip": "select event_id, user_id, event_type, cast(2 as bigint) as ids from events",

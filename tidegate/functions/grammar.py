@@ -9,7 +9,8 @@ TIMESTAMPTZ = r"(?i)^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d{1,9})?(Z|[+-]\d
 HALF_MICRO_UP = r"\.\d{6}[5-9]"  # the digit after the microseconds rounds them up
 
 # Text that may have been a JSON number, object or array rather than a string, and would then print differently.
-MAYBE_NOT_STRING = r"^(-0|-?\d{19,}|-?\d+(\.\d+)?[eE][+-]?\d+|-?\d+\.\d+)\z|^[{\[]"
+# A leading quote is how the parser shows a number beyond the range of a double.
+MAYBE_NOT_STRING = r"^(-0|-?\d{19,}|-?\d+(\.\d+)?[eE][+-]?\d+|-?\d+\.\d+)\z|^[{\[\"]"
 
 TRUE_WORDS = ("true", "t", "1")
 FALSE_WORDS = ("false", "f", "0")

@@ -271,6 +271,9 @@ def resolve_columns(
     first_error = F.coalesce(*errors)
     if has_usual:
         first_error = F.when(F.col(USUAL).isNull(), first_error).otherwise(no_error())
+    # A filter on the error must run on its finished value. Pushed below these projections, it would repeat the
+    # parsing and coercion of every column; reading the partition id, always >= 0, keeps the optimizer from that.
+    first_error = F.when(F.spark_partition_id() >= 0, first_error)
     valued = decoded.select(*kept, *values)
     return valued.select(SRC, first_error.alias(ERROR), *[col(n) for n in spec.names])
 

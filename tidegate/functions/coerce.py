@@ -1,6 +1,6 @@
 """Strict type coercion as Catalyst expressions.
 
-``coerce`` returns two columns for one attribute: the value in the declared type (NULL when it does not fit)
+``coerce`` gives two expressions for one attribute: the value in the declared type (NULL when it does not fit)
 and the reason it does not fit. The reason is only meaningful, and only evaluated, where an attribute was given
 and its value came out NULL; keeping it apart lets the hot path compute nothing but values.
 
@@ -11,15 +11,16 @@ Two profiles exist because the two sink modes accept different inputs:
 
 Attributes of schemaless records are VARIANT and are judged by the type tag of each value. Attributes of typed
 records are judged once, by their Spark type, while the plan is built.
+
+Expressions are Spark SQL text. A table of hundreds of columns needs tens of thousands of expression nodes, and
+micro-batches are planned afresh each time: text reaches the JVM in one call per projection, Column objects would
+take one call per node.
 """
 
 from __future__ import annotations
 
-from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import grammar as G
@@ -36,223 +37,236 @@ _NUMERIC = ("integer", "bigint", "real", "double", "decimal")
 _SMALL = (T.ByteType, T.ShortType, T.IntegerType)
 _FRACTION = (T.FloatType, T.DoubleType, T.DecimalType)
 _NESTED = (T.StructType, T.MapType, T.ArrayType)
+_EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 
 
 class Coerced(NamedTuple):
-    value: Column
-    reason: Column
+    value: str
+    reason: str
 
 
-def coerce(raw: Column, source: T.DataType, declared: Declared, profile: str) -> Coerced:
-    """Coerce ``raw``, of Spark type ``source``, to ``declared`` under ``profile``."""
+def coerce(raw: str, source: T.DataType, declared: Declared, profile: str, depth: int = 0) -> Coerced:
+    """Coerce the expression ``raw``, of Spark type ``source``, to ``declared`` under ``profile``."""
     if profile not in PROFILES:
         raise ValueError(f"Unknown profile '{profile}', expected one of {', '.join(PROFILES)}")
     if isinstance(source, T.NullType):
-        return Coerced(_null(declared), F.lit(INCOMPATIBLE))
+        return Coerced(_null(declared), text(INCOMPATIBLE))
     if declared.kind == "array":
         if isinstance(source, T.VariantType):
-            return _variant_array(raw, declared, profile)
-        return _typed_array(raw, source, declared, profile)
+            return _variant_array(raw, declared, profile, depth)
+        return _typed_array(raw, source, declared, profile, depth)
     if isinstance(source, T.VariantType):
         return _variant_scalar(raw, declared, profile)
     return _typed_scalar(raw, source, declared, profile)
 
 
-def given(raw: Column, source: T.DataType) -> Column:
+def given(raw: str, source: T.DataType) -> str:
     """True where the attribute is present and not null (neither SQL NULL nor JSON null)."""
     if isinstance(source, T.VariantType):
-        return raw.isNotNull() & ~F.is_variant_null(raw)
-    return raw.isNotNull()
+        return f"({raw} IS NOT NULL AND NOT is_variant_null({raw}))"
+    return f"({raw} IS NOT NULL)"
+
+
+def to_json_text(value: str) -> str:
+    """Nested values as JSON text, null fields kept."""
+    return f"to_json({value}, map('ignoreNullFields', 'false'))"
 
 
 # --- building blocks -------------------------------------------------------------------------------------------
 
 
-def _null(declared: Declared) -> Column:
-    return F.lit(None).cast(declared.spark)
+def text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def case(branches: list[tuple[str, str]], otherwise: str = "NULL") -> str:
+    """``CASE``; an empty one is its default."""
+    if not branches:
+        return otherwise
+    return "CASE " + " ".join(f"WHEN {c} THEN {v}" for c, v in branches) + f" ELSE {otherwise} END"
+
+
+def cast(value: str, data_type: T.DataType | str) -> str:
+    return f"CAST({value} AS {data_type if isinstance(data_type, str) else data_type.simpleString()})"
+
 
+def try_cast(value: str, data_type: T.DataType | str) -> str:
+    return "TRY_" + cast(value, data_type)
 
-def _trimmed(s: Column) -> Column:
-    return F.btrim(s, F.lit(G.BLANKS))
 
+def matches(value: str, pattern: str) -> str:
+    return f"({value} RLIKE {text(pattern)})"
 
-def _from_string(s: Column, declared: Declared, profile: str) -> Column:
+
+def _null(declared: Declared) -> str:
+    return cast("NULL", declared.spark)
+
+
+def _trimmed(s: str) -> str:
+    return f"btrim({s}, '{''.join(f'\\u{ord(c):04x}' for c in G.BLANKS)}')"
+
+
+def _words(words: tuple[str, ...]) -> str:
+    return "(" + ", ".join(text(w) for w in words) + ")"
+
+
+def _from_string(s: str, declared: Declared, profile: str) -> str:
     """The value of a string attribute, NULL when the declared type does not accept that text."""
     kind = declared.kind
     if kind in ("text", "json"):
         return s
     if kind == "bytea":
-        return s.cast("binary")
+        return cast(s, "binary")
     if kind == "date":
-        return F.when(s.rlike(G.DATE), s.try_cast("date"))
+        return case([(matches(s, G.DATE), try_cast(s, "date"))])
     if kind == "timestamp":
-        return F.when(s.rlike(G.TIMESTAMP), F.upper(s).try_cast("timestamp_ntz"))
+        return case([(matches(s, G.TIMESTAMP), try_cast(f"upper({s})", "timestamp_ntz"))])
     if kind == "timestamptz":
-        instant = F.upper(s).try_cast("timestamp")
+        instant = try_cast(f"upper({s})", "timestamp")
         if profile == "binary":
-            extra = F.when(s.rlike(G.HALF_MICRO_UP), F.lit(1)).otherwise(F.lit(0))
-            instant = F.timestamp_add("MICROSECOND", extra, instant)
-        return F.when(s.rlike(G.TIMESTAMPTZ), instant)
+            instant = f"timestampadd(MICROSECOND, if({matches(s, G.HALF_MICRO_UP)}, 1, 0), {instant})"
+        return case([(matches(s, G.TIMESTAMPTZ), instant)])
     if kind == "boolean":
-        word = F.lower(_trimmed(s) if profile == "binary" else s)
-        return F.when(word.isin(*G.TRUE_WORDS), True).when(word.isin(*G.FALSE_WORDS), False)
-    text = _trimmed(s)
+        word = f"lower({_trimmed(s) if profile == 'binary' else s})"
+        return case([(f"{word} IN {_words(G.TRUE_WORDS)}", "true"), (f"{word} IN {_words(G.FALSE_WORDS)}", "false")])
+    trimmed = _trimmed(s)
     if kind in ("real", "double"):
-        return F.when(text.rlike(G.NUMBER), text.try_cast(declared.spark))
-    return text.try_cast(declared.spark)
+        return case([(matches(trimmed, G.NUMBER), try_cast(trimmed, declared.spark))])
+    return try_cast(trimmed, declared.spark)
 
 
-def _string_reason(s: Column, declared: Declared) -> Column:
+def _string_reason(s: str, declared: Declared) -> str:
     kind = declared.kind
     if kind in ("date", "timestamp", "timestamptz"):
-        return F.lit(NOT_ISO)
+        return text(NOT_ISO)
     if kind in ("integer", "bigint"):
-        return F.when(_trimmed(s).rlike(G.INTEGRAL), OUT_OF_RANGE).otherwise(UNPARSABLE)
+        return case([(matches(_trimmed(s), G.INTEGRAL), text(OUT_OF_RANGE))], text(UNPARSABLE))
     if kind == "decimal":
-        return F.when(_trimmed(s).try_cast("double").isNotNull(), OUT_OF_RANGE).otherwise(UNPARSABLE)
-    return F.lit(UNPARSABLE)
+        return case([(f"{try_cast(_trimmed(s), 'double')} IS NOT NULL", text(OUT_OF_RANGE))], text(UNPARSABLE))
+    return text(UNPARSABLE)
 
 
-def _epoch_micros(n: Column) -> Column:
-    """Magnitude rule: large numbers are microseconds, others milliseconds; NULL when not representable."""
-    return F.when(n > G.MICROS_ABOVE, n).otherwise(F.try_multiply(n, F.lit(1000)))
-
-
-def _wall_clock(micros: Column) -> Column:
+def _wall_clock(micros: str) -> str:
     """Epoch microseconds as a zone-free timestamp, whatever the session time zone is."""
-    return F.timestamp_add("MICROSECOND", micros, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+    return f"timestampadd(MICROSECOND, {micros}, {_EPOCH})"
 
 
-def _from_epoch(n: Column, kind: str) -> Column:
-    micros = _epoch_micros(n)
-    return _wall_clock(micros) if kind == "timestamp" else F.timestamp_micros(micros)
+def _from_epoch(n: str, kind: str) -> str:
+    """Magnitude rule: large numbers are microseconds, others milliseconds; NULL when not representable."""
+    micros = f"if({n} > {G.MICROS_ABOVE}L, {n}, try_multiply({n}, 1000L))"
+    return _wall_clock(micros) if kind == "timestamp" else f"timestamp_micros({micros})"
 
 
-def _from_long(n: Column, declared: Declared, profile: str) -> Column | None:
+def _from_long(n: str, declared: Declared, profile: str) -> str | None:
     """The value of an integral attribute (as BIGINT), or None when the type never accepts one."""
     kind = declared.kind
     if kind in ("text", "json"):
-        return n.cast("string")
+        return cast(n, "string")
+    if kind == "bigint":
+        return n
     if kind in _NUMERIC:
-        return n.try_cast(declared.spark)
+        return try_cast(n, declared.spark)
     if kind == "boolean" and profile == "binary":
-        return F.when(n == 1, True).when(n == 0, False)
+        return case([(f"{n} = 1", "true"), (f"{n} = 0", "false")])
     if kind == "date":
-        return F.date_from_unix_date(n.try_cast("int"))
+        return f"date_from_unix_date({try_cast(n, 'int')})"
     if kind in ("timestamp", "timestamptz"):
         return _from_epoch(n, kind)
     return None
 
 
-def _from_double(x: Column, declared: Declared, profile: str) -> Column | None:
+def _from_double(x: str, declared: Declared, profile: str) -> str | None:
     """The value of a fractional attribute (as DOUBLE), or None when the type never accepts one."""
     kind = declared.kind
     if kind in ("text", "json"):
-        return x.cast("string")
+        return cast(x, "string")
     if kind == "double":
         return x
     if kind == "real":
-        narrowed = x.cast("float")
-        if profile == "binary":
-            return F.when(F.abs(narrowed) < F.lit(float("inf")), narrowed)
-        return narrowed
+        narrowed = cast(x, "float")
+        return case([(f"abs({narrowed}) < float('Infinity')", narrowed)]) if profile == "binary" else narrowed
     if kind == "decimal":
-        return x.try_cast(declared.spark)
+        return try_cast(x, declared.spark)
     if kind == "boolean" and profile == "binary":
-        return F.when((x > -1) & (x < 1), False).when((x >= 1) & (x < 2), True)
+        return case([(f"{x} > -1 AND {x} < 1", "false"), (f"{x} >= 1 AND {x} < 2", "true")])
     if kind == "date":
-        return F.date_from_unix_date(x.try_cast("int"))
+        return f"date_from_unix_date({try_cast(x, 'int')})"
     if kind in ("timestamp", "timestamptz"):
-        return _from_epoch(x.try_cast("bigint"), kind)
+        return _from_epoch(try_cast(x, "bigint"), kind)
     return None
 
 
-def _first_match(branches: list[tuple[Column, Column]], declared: Declared) -> Column:
-    chain = reduce(lambda acc, b: acc.when(*b) if acc is not None else F.when(*b), branches, None)
-    return _null(declared) if chain is None else chain.cast(declared.spark)
+# --- schemaless records ----------------------------------------------------------------------------------------
 
 
-# --- schemaless records ----------------------------------------------------------------------------------------
+def _variant(v: str, data_type: str) -> str:
+    return f"try_variant_get({v}, '$', '{data_type}')"
 
 
-def _variant_scalar(v: Column, declared: Declared, profile: str) -> Coerced:
-    tag = F.schema_of_variant(v)
-    is_text, is_long = tag == "STRING", tag == "BIGINT"
-    is_fraction = tag.startswith("DECIMAL") | tag.isin("DOUBLE", "FLOAT")
-    as_text = F.try_variant_get(v, "$", "string")
-    as_double = F.try_variant_get(v, "$", "double")
+def _variant_scalar(v: str, declared: Declared, profile: str) -> Coerced:
+    tag = f"schema_of_variant({v})"
+    is_text, is_long = f"{tag} = 'STRING'", f"{tag} = 'BIGINT'"
+    is_fraction = f"(startswith({tag}, 'DECIMAL') OR {tag} IN ('DOUBLE', 'FLOAT'))"
+    as_text, as_double = _variant(v, "string"), _variant(v, "double")
 
     if declared.kind in ("text", "json"):
         # Objects and arrays print as JSON; fractions print the way a double does.
-        value = F.when(is_fraction, as_double.cast("string")).otherwise(as_text)
-        return Coerced(value, F.lit(INCOMPATIBLE))
-
-    branches = [(is_text, _from_string(as_text, declared, profile))]
-    from_long = _from_long(F.try_variant_get(v, "$", "bigint"), declared, profile)
-    from_double = _from_double(as_double, declared, profile)
-    reason = F.when(is_text, _string_reason(as_text, declared))
-    if from_long is not None:
-        branches.append((is_long, from_long))
-        reason = reason.when(is_long, OUT_OF_RANGE)
-    if from_double is not None:
-        branches.append((is_fraction, from_double))
-        reason = reason.when(is_fraction, OUT_OF_RANGE)
-    if declared.kind == "boolean":
-        branches.insert(0, (tag == "BOOLEAN", F.try_variant_get(v, "$", "boolean")))
-    return Coerced(_first_match(branches, declared), reason.otherwise(INCOMPATIBLE))
+        return Coerced(case([(is_fraction, cast(as_double, "string"))], as_text), text(INCOMPATIBLE))
 
-
-def _native_array(v: Column, tag: Column, declared: Declared) -> tuple[Column, Column] | None:
+    values, reasons = [], [(is_text, _string_reason(as_text, declared))]
+    if declared.kind == "boolean":
+        values.append((f"{tag} = 'BOOLEAN'", _variant(v, "boolean")))
+    values.append((is_text, _from_string(as_text, declared, profile)))
+    for condition, value in (
+        (is_long, _from_long(_variant(v, "bigint"), declared, profile)),
+        (is_fraction, _from_double(as_double, declared, profile)),
+    ):
+        if value is not None:
+            values.append((condition, value))
+            reasons.append((condition, text(OUT_OF_RANGE)))
+    return Coerced(cast(case(values), declared.spark), case(reasons, text(INCOMPATIBLE)))
+
+
+def _native_array(v: str, tag: str, declared: Declared) -> list[tuple[str, str]]:
     """Condition and value for JSON arrays whose elements all share one tag that needs no per-element rule.
 
     These convert in one native call; every other array goes element by element.
     """
     kind = declared.element.kind
     if kind == "text":
-        return tag == "ARRAY<STRING>", F.try_variant_get(v, "$", "array<string>")
+        return [(f"{tag} = 'ARRAY<STRING>'", _variant(v, "array<string>"))]
     if kind == "boolean":
-        return tag == "ARRAY<BOOLEAN>", F.try_variant_get(v, "$", "array<boolean>")
+        return [(f"{tag} = 'ARRAY<BOOLEAN>'", _variant(v, "array<boolean>"))]
     if kind == "bigint":
-        return tag == "ARRAY<BIGINT>", F.try_variant_get(v, "$", "array<bigint>")
+        return [(f"{tag} = 'ARRAY<BIGINT>'", _variant(v, "array<bigint>"))]
     if kind == "double":
-        numeric = tag.isin("ARRAY<BIGINT>", "ARRAY<DOUBLE>") | tag.startswith("ARRAY<DECIMAL")
-        return numeric, F.try_variant_get(v, "$", "array<double>")
-    return None
+        numeric = f"({tag} IN ('ARRAY<BIGINT>', 'ARRAY<DOUBLE>') OR startswith({tag}, 'ARRAY<DECIMAL'))"
+        return [(numeric, _variant(v, "array<double>"))]
+    return []
 
 
-def _variant_array(v: Column, declared: Declared, profile: str) -> Coerced:
-    tag = F.schema_of_variant(v)
-    is_array = tag.startswith("ARRAY<")
-    elements = F.try_variant_get(v, "$", "array<variant>")
-    value, reason = _elementwise(elements, T.VariantType(), declared, profile)
-    value = F.when(is_array, value)
-    native = _native_array(v, tag, declared)
-    if native is not None:
-        value = F.when(*native).otherwise(value)
-    return Coerced(value, F.when(is_array, reason).otherwise(INCOMPATIBLE))
+def _variant_array(v: str, declared: Declared, profile: str, depth: int) -> Coerced:
+    tag = f"schema_of_variant({v})"
+    is_array = f"startswith({tag}, 'ARRAY<')"
+    value, reason = _elementwise(_variant(v, "array<variant>"), T.VariantType(), declared, profile, depth)
+    branches = [*_native_array(v, tag, declared), (is_array, value)]
+    return Coerced(case(branches), case([(is_array, reason)], text(INCOMPATIBLE)))
 
 
-def _elementwise(elements: Column, source: T.DataType, declared: Declared, profile: str) -> Coerced:
+def _elementwise(elements: str, source: T.DataType, declared: Declared, profile: str, depth: int) -> Coerced:
     """Coerce each element; NULL elements stay, one bad element makes the whole array NULL."""
     # Numbers inside arrays are not held to the stricter per-column rules of the sql profile.
     inner = "binary" if declared.element.kind in _NUMERIC else profile
-
-    def judged(x: Column) -> Column:
-        c = coerce(x, source, declared.element, inner)
-        return F.struct(c.value.alias("value"), (given(x, source) & c.value.isNull()).alias("bad"))
-
+    x, judged = f"x{depth}", f"j{depth}"
+    c = coerce(x, source, declared.element, inner, depth + 1)
+    failed = f"({given(x, source)} AND {c.value} IS NULL)"
+    pairs = f"transform({elements}, {x} -> named_struct('value', {c.value}, 'bad', {failed}))"
     # The one-element outer array binds the judged elements to a name, so that they are computed once.
-    value = F.transform(
-        F.array(F.transform(elements, judged)),
-        lambda js: F.when(~F.exists(js, lambda j: j.getField("bad")), F.transform(js, lambda j: j.getField("value"))),
-    )[0]
-
-    def why(x: Column) -> Column:
-        c = coerce(x, source, declared.element, inner)
-        return F.when(given(x, source) & c.value.isNull(), c.reason)
-
-    reasons = F.filter(F.transform(elements, why), lambda r: r.isNotNull())
-    return Coerced(value.cast(declared.spark), F.try_element_at(reasons, F.lit(1)))
+    good = case([(f"NOT exists({judged}, j -> j.bad)", f"transform({judged}, j -> j.value)")])
+    value = cast(f"transform(array({pairs}), {judged} -> {good})[0]", declared.spark)
+    reasons = f"filter(transform({elements}, {x} -> {case([(failed, c.reason)])}), r -> r IS NOT NULL)"
+    return Coerced(value, f"try_element_at({reasons}, 1)")
 
 
 # --- the usual shape of schemaless records ---------------------------------------------------------------------
@@ -275,7 +289,7 @@ def usual_json_type(declared: Declared) -> T.DataType:
     return T.VariantType()
 
 
-def from_usual_json(raw: Column, declared: Declared, profile: str) -> Column:
+def from_usual_json(raw: str, declared: Declared, profile: str) -> str:
     source = usual_json_type(declared)
     if isinstance(source, T.VariantType):
         return coerce(raw, source, declared, profile).value
@@ -286,41 +300,41 @@ def from_usual_json(raw: Column, declared: Declared, profile: str) -> Column:
     return raw
 
 
-def is_usual_json(raw: Column, value: Column, column: ColumnSpec) -> Column | None:
-    """True where ``value``, made by :func:`from_usual_json` from ``raw``, is certain to be the right one."""
+def doubtful_json(raw: str, value: str, column: ColumnSpec) -> str | None:
+    """True where ``value``, made by :func:`from_usual_json` from ``raw``, may not be the right one."""
     declared, source = column.declared, usual_json_type(column.declared)
+    missing = [] if column.nullable else [f"{value} IS NULL"]
     if declared.kind == "text":
-        sure = ~raw.rlike(G.MAYBE_NOT_STRING)
-        return F.coalesce(sure, F.lit(False)) if not column.nullable else F.coalesce(sure, F.lit(True))
-    if not column.nullable:
-        return value.isNotNull()
+        return " OR ".join([*missing, matches(raw, G.MAYBE_NOT_STRING)])
+    if missing:
+        return missing[0]
     if source == declared.spark or declared.kind == "double":
         return None
-    return value.isNotNull() | ~given(raw, source)
+    return f"{value} IS NULL AND {given(raw, source)}"
 
 
 # --- typed records ---------------------------------------------------------------------------------------------
 
 
-def _typed_array(raw: Column, source: T.DataType, declared: Declared, profile: str) -> Coerced:
+def _typed_array(raw: str, source: T.DataType, declared: Declared, profile: str, depth: int) -> Coerced:
     if not isinstance(source, T.ArrayType):
-        return Coerced(_null(declared), F.lit(INCOMPATIBLE))
+        return Coerced(_null(declared), text(INCOMPATIBLE))
     if source.elementType == declared.element.spark and declared.element.kind != "array":
-        return Coerced(raw.cast(declared.spark), F.lit(INCOMPATIBLE))
-    return _elementwise(raw, source.elementType, declared, profile)
+        return Coerced(cast(raw, declared.spark), text(INCOMPATIBLE))
+    return _elementwise(raw, source.elementType, declared, profile, depth)
 
 
-def _typed_scalar(raw: Column, source: T.DataType, declared: Declared, profile: str) -> Coerced:
+def _typed_scalar(raw: str, source: T.DataType, declared: Declared, profile: str) -> Coerced:
     kind = declared.kind
-    value, reason = None, F.lit(OUT_OF_RANGE)
+    value, reason = None, text(OUT_OF_RANGE)
     if isinstance(source, T.StringType):
         value, reason = _from_string(raw, declared, profile), _string_reason(raw, declared)
     elif isinstance(source, T.BinaryType):
         if kind in ("bytea", "text"):
-            value, reason = raw.cast(declared.spark), F.lit(UNPARSABLE)
+            value, reason = cast(raw, declared.spark), text(UNPARSABLE)
     elif isinstance(source, T.BooleanType):
         if kind in ("boolean", "text", "json"):
-            value = raw.cast(declared.spark)
+            value = cast(raw, declared.spark)
     elif isinstance(source, _SMALL + (T.LongType,) + _FRACTION):
         if _accepts_number(kind, source, profile):
             value = _from_number(raw, source, declared, profile)
@@ -330,8 +344,8 @@ def _typed_scalar(raw: Column, source: T.DataType, declared: Declared, profile:
         if kind in ("text", "json"):
             value = to_json_text(raw)
     if value is None:
-        return Coerced(_null(declared), F.lit(INCOMPATIBLE))
-    return Coerced(value, reason)
+        return Coerced(_null(declared), text(INCOMPATIBLE))
+    return Coerced(cast(value, declared.spark), reason)
 
 
 def _accepts_number(kind: str, source: T.DataType, profile: str) -> bool:
@@ -353,38 +367,32 @@ def _accepts_number(kind: str, source: T.DataType, profile: str) -> bool:
     return False
 
 
-def _from_number(raw: Column, source: T.DataType, declared: Declared, profile: str) -> Column | None:
+def _from_number(raw: str, source: T.DataType, declared: Declared, profile: str) -> str | None:
     if isinstance(source, T.DecimalType):
         if declared.kind in ("decimal", "text", "json"):
-            return raw.try_cast(declared.spark)
-        return _from_double(raw.cast("double"), declared, profile)
+            return try_cast(raw, declared.spark)
+        return _from_double(cast(raw, "double"), declared, profile)
     if isinstance(source, T.FloatType) and declared.kind in ("real", "text", "json"):
-        return raw.cast(declared.spark)
+        return cast(raw, declared.spark)
     if isinstance(source, _FRACTION):
-        return _from_double(raw.cast("double"), declared, profile)
-    return _from_long(raw.cast("bigint"), declared, profile)
+        return _from_double(cast(raw, "double"), declared, profile)
+    return _from_long(cast(raw, "bigint"), declared, profile)
 
 
-def _from_calendar(raw: Column, source: T.DataType, kind: str, profile: str) -> Column | None:
+def _from_calendar(raw: str, source: T.DataType, kind: str, profile: str) -> str | None:
     """Logical date and timestamp values; instants are read in UTC, whatever the session time zone is."""
     if kind == "text":
-        return raw.cast("string")
+        return cast(raw, "string")
     if isinstance(source, T.TimestampType):
-        local = _wall_clock(F.unix_micros(raw))
+        local = _wall_clock(f"unix_micros({raw})")
     else:
-        local = raw.cast("timestamp_ntz")
+        local = cast(raw, "timestamp_ntz")
     if kind == "date":
-        return local.cast("date")
+        return cast(local, "date")
     if kind == "timestamp":
         return local
     if kind == "timestamptz" and profile == "binary":
         if isinstance(source, T.TimestampType):
             return raw
-        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-        return F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, local))
+        return f"timestamp_micros(timestampdiff(MICROSECOND, {_EPOCH}, {local}))"
     return None
-
-
-def to_json_text(value: Column) -> Column:
-    """Nested values as JSON text, null fields kept."""
-    return F.to_json(value, {"ignoreNullFields": "false"})

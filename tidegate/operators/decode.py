@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from ..functions import coerce as C
 from ..functions.names import col, quote
-from ..functions.types import TableSpec
+from ..functions.types import ColumnSpec, TableSpec
 
 ENVELOPE = T.StructType(
     [
@@ -67,6 +67,11 @@ def error(reason: str | Column, column: str | None = None, declared: str | None
     )
 
 
+def _error_text(why: str, column: ColumnSpec) -> str:
+    name, declared = C.text(column.name), C.text(str(column.declared))
+    return f"named_struct('column', {name}, 'declared_type', {declared}, 'reason', {why})"
+
+
 def no_error() -> Column:
     return F.lit(None).cast(ERROR_TYPE)
 
@@ -137,16 +142,17 @@ def _read_usual(keyed: DataFrame, spec: TableSpec, profile: str, respelled: Colu
     raw = keyed.select(
         SRC, "_text", "_keys", respelled, F.from_json("_text", reading, _JSON_OPTIONS).alias("_raw")
     )
-    values = [
-        C.from_usual_json(F.col("_raw").getField(c.name), c.declared, profile).cast(c.declared.spark).alias(c.name)
+    fields = [
+        f"{C.text(c.name)}, {C.cast(C.from_usual_json(f'_raw.{quote(c.name)}', c.declared, profile), c.declared.spark)}"
         for c in spec.columns
     ]
-    valued = raw.select(SRC, "_text", "_keys", "_respelled", "_raw", F.struct(*values).alias("_values"))
-    certain = F.col(f"_raw.{_CORRUPT}").isNull() & ~F.col("_respelled")
-    for c in spec.columns:
-        sure = C.is_usual_json(F.col("_raw").getField(c.name), F.col("_values").getField(c.name), c)
-        certain = certain if sure is None else certain & sure
-    return valued.select(SRC, "_text", "_keys", "_respelled", F.when(certain, F.col("_values")).alias(USUAL))
+    values = F.expr(f"named_struct({', '.join(fields)})").alias("_values")
+    valued = raw.select(SRC, "_text", "_keys", "_respelled", "_raw", values)
+    doubts = [f"_raw.{_CORRUPT} IS NOT NULL", "_respelled IS NOT FALSE"]
+    doubts += [C.doubtful_json(f"_raw.{quote(c.name)}", f"_values.{quote(c.name)}", c) for c in spec.columns]
+    # Branches of one CASE, not one long OR: generated code for branches can be split into methods.
+    usual = F.expr(C.case([(d, "NULL") for d in doubts if d is not None], "_values")).alias(USUAL)
+    return valued.select(SRC, "_text", "_keys", "_respelled", usual)
 
 
 def _document_type(attributes: list[tuple[str, T.DataType]]) -> T.StructType:
@@ -182,7 +188,7 @@ def decode_typed(df: DataFrame, spec: TableSpec, value: str = "value") -> DataFr
     envelope = F.struct(
         *[F.col(f.name) for f in ENVELOPE.fields if f.name != "value"],
         # A NULL record has nothing to print; anything else is kept as JSON for the dead-letter table.
-        C.to_json_text(col(value)).cast("binary").alias("value"),
+        F.expr(C.to_json_text(quote(value))).cast("binary").alias("value"),
     )
     status = F.when(col(value).isNull(), error(NO_CONVERTER)).otherwise(error(AMBIGUOUS) if clash else no_error())
     return df.select(
@@ -219,7 +225,7 @@ def cast_fields(decoded: DataFrame, rules: dict[str, dict[str, str]]) -> DataFra
                 number = F.when(
                     F.schema_of_variant(raw) == "STRING", F.try_variant_get(raw, "$", "string").try_cast(target)
                 ).otherwise(F.try_variant_get(raw, "$", target))
-                cast, present = number.cast("variant"), C.given(raw, T.VariantType())
+                cast, present = number.cast("variant"), raw.isNotNull() & ~F.is_variant_null(raw)
             else:
                 cast, present = raw.try_cast(target).cast(doc_type[name].dataType), raw.isNotNull()
             updates[name] = F.when(applies & present, cast).otherwise(raw)
@@ -244,38 +250,38 @@ def resolve_columns(
     """
     doc_type = decoded.schema[DOC].dataType
     constants = {k.lower(): v for k, v in (constants or {}).items()}
-    values, errors = [], [F.col("_status")]
+    names = [quote(c.name) for c in spec.columns]
+    values: list[str | Column] = []
+    errors = ["_status"]
     has_usual = USUAL in decoded.columns
-    for column in spec.columns:
+    for column, name in zip(spec.columns, names):
         if column.name in RESERVED:
             raise ValueError(f"Column name '{column.name}' is reserved")
         if column.name.lower() in constants:
             values.append(constants[column.name.lower()].cast(column.declared.spark).alias(column.name))
             continue
         source = doc_type[column.name].dataType
-        raw = F.col(DOC).getField(column.name)
+        raw = f"{DOC}.{name}"
         value, reason = C.coerce(raw, source, column.declared, profile)
         is_given = C.given(raw, source)
         if column.default is not None and not column.nullable:
-            value = F.when(is_given, value).otherwise(F.expr(column.default).cast(column.declared.spark))
+            value = C.case([(is_given, value)], C.cast(column.default, column.declared.spark))
         if has_usual:
-            value = F.when(F.col(USUAL).isNotNull(), F.col(USUAL).getField(column.name)).otherwise(value)
-        values.append(value.alias(column.name))
-        failed, why = col(column.name).isNull(), F.when(is_given, reason)
+            value = C.case([(f"{USUAL} IS NOT NULL", f"{USUAL}.{name}")], value)
+        values.append(f"{value} AS {name}")
         if column.nullable:
-            failed = failed & is_given
+            failed, why = f"{name} IS NULL AND {is_given}", reason
         else:
-            why = why.otherwise(F.lit(NOT_NULL))
-        errors.append(F.when(failed, error(why, column.name, str(column.declared))))
+            failed, why = f"{name} IS NULL", C.case([(is_given, reason)], C.text(NOT_NULL))
+        errors.append(C.case([(failed, _error_text(why, column))]))
     kept = [c for c in (SRC, DOC, USUAL, "_status") if c in decoded.columns]
-    first_error = F.coalesce(*errors)
-    if has_usual:
-        first_error = F.when(F.col(USUAL).isNull(), first_error).otherwise(no_error())
+    usual = [(f"{USUAL} IS NOT NULL", "NULL")] if has_usual else []
+    first_error = C.case(usual, f"coalesce({', '.join(errors)})")
     # A filter on the error must run on its finished value. Pushed below these projections, it would repeat the
     # parsing and coercion of every column; reading the partition id, always >= 0, keeps the optimizer from that.
-    first_error = F.when(F.spark_partition_id() >= 0, first_error)
-    valued = decoded.select(*kept, *values)
-    return valued.select(SRC, first_error.alias(ERROR), *[col(n) for n in spec.names])
+    first_error = C.case([("spark_partition_id() >= 0", first_error)])
+    valued = decoded.select(*kept, *[F.expr(v) if isinstance(v, str) else v for v in values])
+    return valued.selectExpr(SRC, f"{first_error} AS {ERROR}", *names)
 
 
 def observed_columns(decoded: DataFrame) -> DataFrame:

@@ -16,13 +16,14 @@ def spark(tmp_path_factory):
         .appName("tidegate-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "4g")
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    return session
+    from tidegate import configure
+
+    return configure(session)
 
 
 @pytest.fixture

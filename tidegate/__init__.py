@@ -22,6 +22,7 @@ from .operators.route import filter_topics, parse_mapping, route, skipped, split
 from .operators.sinks import append, write_parquet_batch
 from .operators.verify import check_checksum, check_count, check_distinct, checksum, missing_ids, spot_check
 from .plans.ingest import IngestConfig, PostProcess, Script, fill_defaults, plan_rows, tag_batch
+from .session import configure
 from .sources.catalog import discover, missing_tables
 from .sources.envelope import read_topic_log, stream_topic_log, to_envelope
 from .sources.generate import random_log, sequence_log

@@ -15,6 +15,7 @@ from ..functions.types import SchemaError, TableSpec
 from ..operators import offsets, route
 from ..operators.quarantine import BatchFailed, enforce, whole_batch_dead
 from ..plans.ingest import IngestConfig, Script, fill_defaults, plan_rows, tag_batch
+from ..session import configure
 from .store import Change, TableStore
 
 
@@ -146,7 +147,7 @@ def start_ingest(
 
     def run(batch: DataFrame, batch_number: int) -> None:
         nonlocal store
-        session = batch.sparkSession
+        session = configure(batch.sparkSession)
         store = store.using(session)
         query = session.sparkContext.getLocalProperty("sql.streaming.queryId")
         epoch = f"{query}-{batch_number}"

@@ -72,17 +72,15 @@ def _error_text(why: str, column: ColumnSpec) -> str:
     return f"named_struct('column', {name}, 'declared_type', {declared}, 'reason', {why})"
 
 
-def no_error() -> Column:
-    return F.lit(None).cast(ERROR_TYPE)
-
-
-def as_text(value: Column) -> Column:
-    """Bytes as text; NULL when they are not valid UTF-8."""
-    return F.try_validate_utf8(value.cast("string"))
+def _status_text(reason: str) -> str:
+    return (
+        "named_struct('column', CAST(NULL AS STRING), 'declared_type', CAST(NULL AS STRING), "
+        f"'reason', {C.text(reason)})"
+    )
 
 
-def _envelope() -> Column:
-    return F.struct(*[F.col(f.name) for f in ENVELOPE.fields]).alias(SRC)
+def no_error() -> Column:
+    return F.lit(None).cast(ERROR_TYPE)
 
 
 def decode_json(
@@ -96,80 +94,73 @@ def decode_json(
     With ``usual_profile`` records are first parsed straight into the types their attributes usually have; where
     that is certain to give what the general route would, ``_usual`` holds the finished values and ``_doc`` is NULL.
     """
-    names, lowers = spec.names, [n.lower() for n in spec.names]
-    exact = _document_type([(n, T.VariantType()) for n in names])
-    text = as_text(F.col("value"))
+    names, lowers = _list(spec.names), _list([n.lower() for n in spec.names])
+    value = "try_validate_utf8(CAST(value AS STRING))"
+    too_large = "false" if max_bytes is None else f"octet_length({SRC}.value) > {int(max_bytes)}"
     if max_bytes is not None:
         # An oversize payload is quarantined, not parsed.
-        text = F.when(F.octet_length("value") <= max_bytes, text)
-    base = df.select(_envelope(), text.alias("_text"))
-    keyed = base.select(SRC, "_text", F.json_object_keys("_text").alias("_keys"))
-    keys = F.col("_keys")
-    respelled = F.exists(keys, lambda k: ~k.isin(names) & F.lower(k).isin(lowers)).alias("_respelled")
-    if usual_profile is None:
-        ready = keyed.select(SRC, "_text", "_keys", respelled)
-        use_general = F.lit(True)
-    else:
-        ready = _read_usual(keyed, spec, usual_profile, respelled)
-        use_general = F.col(USUAL).isNull()
-
-    matching = F.filter(F.array_distinct(keys), lambda k: F.lower(k).isin(lowers))
-    clashing = F.size(matching) > F.size(F.array_distinct(F.transform(matching, F.lower)))
-    by_lower = _document_type([(n, T.VariantType()) for n in lowers])
-    rekeyed = F.from_json(_rekey(F.col("_text"), lowers), by_lower, _JSON_OPTIONS).cast(exact)
-    general = F.when(F.col("_respelled"), rekeyed).otherwise(F.from_json("_text", exact, _JSON_OPTIONS))
-    parsed = ready.select(
-        SRC,
-        "_keys",
-        *([USUAL] if usual_profile is not None else []),
-        F.when(use_general, general).alias(DOC),
-        F.when(F.col("_respelled"), clashing).alias("_clash"),
+        value = f"if(octet_length(value) <= {int(max_bytes)}, {value}, NULL)"
+    envelope = ", ".join(f"'{f.name}', {quote(f.name)}" for f in ENVELOPE.fields)
+    base = df.selectExpr(f"named_struct({envelope}) AS {SRC}", f"{value} AS _text")
+    keyed = base.selectExpr(SRC, "_text", "json_object_keys(_text) AS _keys")
+
+    respelled = f"exists(_keys, k -> k NOT IN {names} AND lower(k) IN {lowers})"
+    matching = f"filter(array_distinct(_keys), k -> lower(k) IN {lowers})"
+    clashing = f"size({matching}) > size(array_distinct(transform({matching}, k -> lower(k))))"
+    flagged = keyed.selectExpr(SRC, "_text", "_keys", f"{respelled} AS _respelled")
+    flagged = flagged.selectExpr(SRC, "_text", "_keys", "_respelled", f"if(_respelled, {clashing}, false) AS _clash")
+    rekeyed = f"if(_respelled AND NOT _clash, {_rekey(spec)}, _text)"
+    ready = flagged.selectExpr(SRC, f"{rekeyed} AS _text", "_keys", "_clash")
+
+    general = _parse([(n, "VARIANT") for n in spec.names])
+    usual = []
+    if usual_profile is not None:
+        ready, usual = _read_usual(ready, spec, usual_profile), [USUAL]
+        general = f"if({USUAL} IS NULL, {general}, NULL)"
+    parsed = ready.selectExpr(SRC, "_keys", "_clash", *usual, f"{general} AS {DOC}")
+    corrupt = f"(_keys IS NULL OR {DOC}.{_CORRUPT} IS NOT NULL)"
+    status = C.case(
+        [(too_large, _status_text(TOO_LARGE)), (corrupt, _status_text(NO_CONVERTER)), ("_clash", _status_text(AMBIGUOUS))]
     )
-    corrupt = F.col("_keys").isNull() | F.col(f"{DOC}.{_CORRUPT}").isNotNull()
-    status = F.when(use_general & corrupt, error(NO_CONVERTER)).when(F.col("_clash"), error(AMBIGUOUS))
-    if max_bytes is not None:
-        status = F.when(F.octet_length(f"{SRC}.value") > max_bytes, error(TOO_LARGE)).otherwise(
-            status.otherwise(no_error())
-        )
-    else:
-        status = status.otherwise(no_error())
-    return parsed.withColumn("_status", status).drop("_clash")
+    return parsed.selectExpr(SRC, "_keys", *usual, DOC, f"{status} AS _status")
 
 
-def _read_usual(keyed: DataFrame, spec: TableSpec, profile: str, respelled: Column) -> DataFrame:
+def _read_usual(ready: DataFrame, spec: TableSpec, profile: str) -> DataFrame:
     """Add ``_usual``: the finished row where the record has the usual form throughout, else NULL."""
-    reading = _document_type([(c.name, C.usual_json_type(c.declared)) for c in spec.columns])
-    raw = keyed.select(
-        SRC, "_text", "_keys", respelled, F.from_json("_text", reading, _JSON_OPTIONS).alias("_raw")
-    )
+    reading = _parse([(c.name, C.usual_json_type(c.declared).simpleString()) for c in spec.columns])
+    raw = ready.selectExpr(SRC, "_text", "_keys", "_clash", f"{reading} AS _raw")
     fields = [
         f"{C.text(c.name)}, {C.cast(C.from_usual_json(f'_raw.{quote(c.name)}', c.declared, profile), c.declared.spark)}"
         for c in spec.columns
     ]
-    values = F.expr(f"named_struct({', '.join(fields)})").alias("_values")
-    valued = raw.select(SRC, "_text", "_keys", "_respelled", "_raw", values)
-    doubts = [f"_raw.{_CORRUPT} IS NOT NULL", "_respelled IS NOT FALSE"]
+    valued = raw.selectExpr(SRC, "_text", "_keys", "_clash", "_raw", f"named_struct({', '.join(fields)}) AS _values")
+    doubts = ["_keys IS NULL", "_clash", f"_raw.{_CORRUPT} IS NOT NULL"]
     doubts += [C.doubtful_json(f"_raw.{quote(c.name)}", f"_values.{quote(c.name)}", c) for c in spec.columns]
     # Branches of one CASE, not one long OR: generated code for branches can be split into methods.
-    usual = F.expr(C.case([(d, "NULL") for d in doubts if d is not None], "_values")).alias(USUAL)
-    return valued.select(SRC, "_text", "_keys", "_respelled", usual)
+    usual = C.case([(d, "NULL") for d in doubts if d is not None], "_values")
+    return valued.selectExpr(SRC, "_text", "_keys", "_clash", f"{usual} AS {USUAL}")
 
 
-def _document_type(attributes: list[tuple[str, T.DataType]]) -> T.StructType:
-    fields = [T.StructField(name, data_type) for name, data_type in attributes]
-    return T.StructType(fields + [T.StructField(_CORRUPT, T.StringType())])
+def _list(names: list[str]) -> str:
+    return "(" + ", ".join(C.text(n) for n in names) + ")"
 
 
-def _rekey(text: Column, lowers: list[str]) -> Column:
-    """The same JSON object with lower-case keys, reduced to attributes that match some column."""
-    entries = F.map_entries(F.from_json(text, T.MapType(T.StringType(), T.VariantType()), {"allowSingleQuotes": "false"}))
-    wanted = F.filter(entries, lambda e: F.lower(e.getField("key")).isin(lowers))
+def _parse(attributes: list[tuple[str, str]]) -> str:
+    ddl = ", ".join(f"{quote(name)} {data_type}" for name, data_type in [*attributes, (_CORRUPT, "STRING")])
+    options = ", ".join(f"'{k}', '{v}'" for k, v in _JSON_OPTIONS.items())
+    return f"from_json(_text, {C.text(ddl)}, map({options}))"
 
-    def member(e: Column) -> Column:
-        key = F.to_json(F.lower(e.getField("key")).cast("variant"))
-        return F.concat(key, F.lit(":"), F.coalesce(F.to_json(e.getField("value")), F.lit("null")))
 
-    return F.concat(F.lit("{"), F.array_join(F.transform(wanted, member), ","), F.lit("}"))
+def _rekey(spec: TableSpec) -> str:
+    """The same JSON object with attributes named as the table names them, and those no column matches left out."""
+    lowers = [n.lower() for n in spec.names]
+    name = "lower(e.key)"
+    if lowers != spec.names:
+        name = f"try_element_at(map_from_arrays(array{_list(lowers)}, array{_list(spec.names)}), {name})"
+    entries = "map_entries(from_json(_text, 'map<string,variant>', map('allowSingleQuotes', 'false')))"
+    wanted = f"filter({entries}, e -> lower(e.key) IN {_list(lowers)})"
+    member = f"concat(to_json(CAST({name} AS VARIANT)), ':', coalesce(to_json(e.value), 'null'))"
+    return f"concat('{{', array_join(transform({wanted}, e -> {member}), ','), '}}')"
 
 
 def decode_typed(df: DataFrame, spec: TableSpec, value: str = "value") -> DataFrame:

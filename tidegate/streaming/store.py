@@ -25,8 +25,8 @@ from ..functions.types import TableSpec
 from ..operators import merge, offsets
 from ..operators.decode import ERROR, SRC
 
-COMMIT_SCHEMA = "epoch string, kind string, name string, path string, bucket int, records bigint"
-_LOG_FIELDS = ("epoch", "kind", "name", "path", "bucket", "records", "seq")
+COMMIT_SCHEMA = "epoch string, kind string, name string, path string, buckets array<int>, records bigint"
+_LOG_FIELDS = ("epoch", "kind", "name", "path", "buckets", "records", "seq")
 DEAD_FIELDS = ("column", "declared_type", "reason")
 
 
@@ -49,7 +49,7 @@ class Change:
     kind: str
     name: str
     path: str
-    bucket: int | None = None
+    buckets: tuple[int, ...] | None = None
     records: int | None = None
 
 
@@ -81,7 +81,7 @@ class TableStore:
     def commit(self, epoch: str, changes: list[Change]) -> None:
         """Publish. The directory for the next sequence number must not exist, so a second writer fails here."""
         seq = self.log()[-1]["seq"] + 1 if self.log() else 0
-        rows = [(epoch, c.kind, c.name, c.path, c.bucket, c.records) for c in changes]
+        rows = [(epoch, c.kind, c.name, c.path, c.buckets and list(c.buckets), c.records) for c in changes]
         if not rows:
             rows = [(epoch, "empty", "", "", None, 0)]
         frame = self.spark.createDataFrame(rows, COMMIT_SCHEMA).coalesce(1)
@@ -119,8 +119,11 @@ class TableStore:
 
     def paths_of(self, table: str) -> list[str]:
         """Directories that make up a table now: all epochs of an appended one, the newest of each bucket of a merged one."""
-        newest = {r["bucket"]: r["path"] for r in self.log() if r["kind"] == "merged" and r["name"] == table}
-        return list(newest.values()) or self._paths("landed", table)
+        return list(self._bucket_paths(table).values()) or self._paths("landed", table)
+
+    def _bucket_paths(self, table: str) -> dict[int, str]:
+        merged = [r for r in self.log() if r["kind"] == "merged" and r["name"] == table]
+        return {b: f"{r['path']}/bucket={b}" for r in merged for b in r["buckets"]}
 
     def _load(self, paths: list[str], schema: T.StructType) -> DataFrame:
         if not paths:
@@ -211,10 +214,10 @@ class TableStore:
         touched = sorted(r[0] for r in incoming.select("bucket").distinct().collect())
         if not touched:
             return []
-        newest = {r["bucket"]: r["path"] for r in self.log() if r["kind"] == "merged" and r["name"] == target.name}
+        newest = self._bucket_paths(target.name)
         current = self._load([newest[b] for b in touched if b in newest], target.schema)
         merged = merge.upsert(current, incoming.drop("bucket"), keys, update)
         path = f"{self.root}/merged/{target.name}/{epoch}"
         rebalanced = merged.withColumn("bucket", bucket).hint("rebalance", "bucket")
         rebalanced.write.mode("overwrite").partitionBy("bucket").parquet(path)
-        return [Change("merged", target.name, f"{path}/bucket={b}", b) for b in touched]
+        return [Change("merged", target.name, path, tuple(touched))]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from event_queries.common import bigint, event_log, micros, scratch, table
+from event_queries.common import bigint, micros, scratch, spread_event_log, table
 from tidegate import (
     TableSpec,
     check_checksum,
@@ -26,7 +26,7 @@ CLICKS = TableSpec.from_ddl("clicks", "event_id BIGINT NOT NULL, user_id BIGINT"
 
 
 def _landed(spark: SparkSession, sf: str) -> DataFrame:
-    valid, _ = split_valid(plan_rows(event_log(spark, sf), CLICKS), CLICKS)
+    valid, _ = split_valid(plan_rows(spread_event_log(spark, sf), CLICKS), CLICKS)
     return valid
 
 

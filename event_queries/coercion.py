@@ -12,7 +12,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from event_queries.common import as_log, bigint, event_log, micros, table
+from event_queries.common import as_log, bigint, micros, spread, spread_event_log, table
 from tidegate import TableSpec, plan_rows, to_envelope
 from tidegate.operators.decode import ERROR, SRC
 
@@ -226,7 +226,7 @@ def _spark_query(kind: str):
 
     def run(spark: SparkSession, sf: str) -> DataFrame:
         value = F.expr(f"concat('{{\"v\":', CASE event_id % {len(cases)} {branches} END, '}}')")
-        log = as_log(table(spark, sf, "events"), value)
+        log = as_log(spread(table(spark, sf, "events")), value)
         spec = TableSpec.from_ddl("t", f"v {declared}")
         show = _SHOWN[kind][0]
         judged = [
@@ -366,7 +366,7 @@ def payload_numbers(spark: SparkSession, sf: str) -> DataFrame:
     spec = TableSpec.from_ddl("t", "event_id BIGINT NOT NULL, user_id INTEGER, value NUMERIC(12,2), ts TIMESTAMP")
     out = []
     for profile in ("sql", "binary"):
-        rows = plan_rows(event_log(spark, sf), spec, profile).where(F.col(ERROR).isNull())
+        rows = plan_rows(spread_event_log(spark, sf), spec, profile).where(F.col(ERROR).isNull())
         out.append(
             rows.select(
                 F.lit(profile).alias("profile"), "event_id", bigint("user_id").alias("user_id"),

@@ -5,7 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from event_queries.common import as_log, bigint, event_fields, event_log, micros, scratch, table
+from event_queries.common import (
+    as_log,
+    bigint,
+    event_fields,
+    event_log,
+    micros,
+    scratch,
+    spread,
+    spread_event_log,
+    table,
+)
 from tidegate import (
     IngestConfig,
     PostProcess,
@@ -72,7 +82,7 @@ def subscribed_topics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def decode_schemaless(spark: SparkSession, sf: str) -> DataFrame:
-    log = as_log(table(spark, sf, "events"), F.col("props"))
+    log = as_log(spread(table(spark, sf, "events")), F.col("props"))
     rows = plan_rows(log, TableSpec.from_ddl("props", "k BIGINT NOT NULL"))
     return rows.select(F.col(f"{SRC}.offset").alias("event_id"), "k")
 
@@ -118,14 +128,14 @@ def decode_typed_records(spark: SparkSession, sf: str) -> DataFrame:
 
 def resolve_columns_ci(spark: SparkSession, sf: str) -> DataFrame:
     upper = F.struct(*[c.alias(n.upper()) for c, n in zip(event_fields(), EVENTS.names)], F.lit("x").alias("Extra"))
-    rows = plan_rows(as_log(table(spark, sf, "events"), F.to_json(upper)), EVENTS)
+    rows = plan_rows(as_log(spread(table(spark, sf, "events")), F.to_json(upper)), EVENTS)
     valid, _ = split_valid(rows, EVENTS)
     return valid.withColumn("ts", micros("ts"))
 
 
 def mixed_spelling(spark: SparkSession, sf: str) -> DataFrame:
     """Attribute spelling that changes from record to record, and records that spell one column twice."""
-    events = table(spark, sf, "events")
+    events = spread(table(spark, sf, "events"))
     kind = F.col("event_id") % 3
     payload = (
         F.when(kind == 0, F.to_json(F.struct("user_id", "value")))
@@ -155,7 +165,7 @@ def unknown_attribute_report(spark: SparkSession, sf: str) -> DataFrame:
 def cast_fields_by_topic(spark: SparkSession, sf: str) -> DataFrame:
     casts = {"purchase": {"value": "int64"}, "cl.*": {"user_id": "string", "value": "int8"}}
     spec = TableSpec.from_ddl("t", "event_id BIGINT, user_id TEXT, value DOUBLE")
-    rows = plan_rows(event_log(spark, sf), spec, casts=casts)
+    rows = plan_rows(spread_event_log(spark, sf), spec, casts=casts)
     return rows.select(
         F.col(f"{SRC}.offset").alias("event_id"), "user_id", "value", F.col(f"{ERROR}.column").alias("failed")
     )
@@ -196,7 +206,7 @@ def advance_ledger(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dead_letter_reasons(spark: SparkSession, sf: str) -> DataFrame:
-    events = table(spark, sf, "events")
+    events = spread(table(spark, sf, "events"))
     kind = F.col("event_id") % 8
     payload = (
         F.when(kind == 0, F.lit("not json"))

@@ -17,6 +17,7 @@ from tidegate import (
     missing_ids,
     plan_rows,
     split_valid,
+    spot_check,
     throughput,
 )
 from tidegate.sources.generate import sequence_fields
@@ -116,6 +117,16 @@ def sequence_records(spark: SparkSession, sf: str) -> DataFrame:
     return rows.withColumn("timestamp", micros("timestamp"))
 
 
+def spot_checks(spark: SparkSession, sf: str) -> DataFrame:
+    """First, middle and last record of the generated sequence: all there, and with the middle one misnamed."""
+    events = table(spark, sf, "events")
+    rows = events.select(*sequence_fields(F.col("event_id") + 1, 12))
+    n = events.count()
+    renamed = rows.withColumn("name", F.when(F.col("id") == n // 2, F.lit("other")).otherwise(F.col("name")))
+    good, bad = (spot_check(r, n).select(F.lit(name).alias("landing"), "id", "ok") for name, r in (("good", rows), ("bad", renamed)))
+    return good.unionAll(bad)
+
+
 def replayed_customers(spark: SparkSession, sf: str) -> DataFrame:
     """The customer table replayed from the start whenever it runs out, for three and a bit rounds."""
     rows = table(spark, sf, "customer").select(F.col("c_custkey").alias("seq"), "c_name")
@@ -159,6 +170,7 @@ QUERIES = {
     "ingest_rate": ingest_rate_by_type,
     "compare_runs": compare_months,
     "sequence_log": sequence_records,
+    "spot_check": spot_checks,
     "csv_replay": replayed_customers,
     "csv_to_topic_log": csv_customers,
     "csv_batches": csv_batches,
@@ -203,6 +215,10 @@ ORACLES = {
     "sequence_log": """select id, rpad('record-' || id, cast(greatest(12, length('record-' || id)) as integer), 'x') as name,
         id * cast(1.1 as double) as value, (id + 1704067200) * 1000000 as "timestamp"
         from (select event_id + 1 as id from events)""",
+    "spot_check": """with n as (select count(*) as n from events),
+        i as (select 1 as id from n union select n // 2 from n union select n from n)
+        select 'good' as landing, id, true as ok from i
+        union all select 'bad', id, id <> (select n // 2 from n) from i""",
     "csv_replay": """select m as message, c_name from (select unnest(range(3 * count(*) + 7)) as m, count(*) as n
         from customer) join customer on c_custkey = m % n""",
     "csv_to_topic_log": """select c_custkey, c_name, c_nationkey::bigint as c_nationkey, c_acctbal,

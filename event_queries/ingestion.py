@@ -27,6 +27,7 @@ from tidegate import (
     decode_json,
     discover,
     drop_processed,
+    fill_defaults,
     filter_topics,
     high_water,
     ingest_batch,
@@ -352,6 +353,41 @@ def ingest_events(spark: SparkSession, sf: str) -> DataFrame:
     return store.read(EVENTS).withColumn("ts", micros("ts"))
 
 
+def ingest_three_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Several topics in one batch, each to a table of its own; topics without a table are left alone."""
+    store = TableStore(spark, scratch(spark))
+    tables = {
+        "clicks": TableSpec.from_ddl("clicks", "event_id BIGINT NOT NULL, user_id INTEGER"),
+        "page_views": TableSpec.from_ddl("page_views", "event_id BIGINT NOT NULL, user_id TEXT"),
+        "error": TableSpec.from_ddl("error", "event_id BIGINT NOT NULL, user_id BOOLEAN"),
+    }
+    config = IngestConfig(tables, mapping=MAPPING, profile="binary", delivery="exactly_once", tolerance="all")
+    ingest_batch(event_log(spark, sf), "epoch", config, store)
+    out = None
+    for name, spec in tables.items():
+        landed = store.read(spec).select(
+            F.lit(name).alias("table"), F.lit("landed").alias("outcome"), "event_id", F.col("user_id").cast("string")
+        )
+        dead = store.read_dead_letters(name).select(
+            "table", F.col("reason").alias("outcome"), F.col("offset").alias("event_id"), F.lit(None).cast("string")
+        )
+        out = landed.unionAll(dead) if out is None else out.unionAll(landed).unionAll(dead)
+    return out
+
+
+def column_defaults(spark: SparkSession, sf: str) -> DataFrame:
+    """A required column takes its default per record, a nullable one only where the whole batch lacks it."""
+    spec = TableSpec.from_ddl(
+        "t",
+        "event_id BIGINT, origin TEXT NOT NULL DEFAULT 'log', grade TEXT DEFAULT 'none', purchase DOUBLE DEFAULT 0",
+    )
+    origin = F.when(F.col("event_id") % 3 == 0, F.lit("app")).alias("origin")
+    purchase = F.when(F.col("event_type") == "purchase", F.col("value")).alias("purchase")
+    rows = fill_defaults(plan_rows(spread_event_log(spark, sf, origin, purchase), spec), spec)
+    valid, _ = split_valid(rows, spec)
+    return valid
+
+
 def append_to_catalog_table(spark: SparkSession, sf: str) -> DataFrame:
     """Discover an existing table, append a batch that leaves a column out, and read it back."""
     path = scratch(spark)
@@ -426,6 +462,8 @@ QUERIES = {
     "exactly_once_stream": exactly_once_stream,
     "at_least_once_stream": at_least_once_stream,
     "ingest_events": ingest_events,
+    "ingest_three_tables": ingest_three_tables,
+    "column_defaults": column_defaults,
     "append_to_catalog_table": append_to_catalog_table,
     "parquet_batch": parquet_batch,
     "sanitize_names": sanitized_part_names,
@@ -509,6 +547,13 @@ ORACLES = {
     "at_least_once_stream": """select count(*) as ids, 2 as fewest, 2 * count(*) as records
         from events where event_type = 'click'""",
     "ingest_events": _EVENT_ROWS + " where event_type = 'click'",
+    "ingest_three_tables": """select 'clicks' as "table", 'landed' as outcome, event_id, cast(user_id as varchar) as user_id
+            from events where event_type = 'click'
+        union all select 'page_views', 'landed', event_id, cast(user_id as varchar) from events where event_type = 'view'
+        union all select 'error', case when user_id < 2 then 'landed' else 'out_of_range' end, event_id,
+            case user_id when 0 then 'false' when 1 then 'true' end from events where event_type = 'error'""",
+    "column_defaults": """select event_id, case when event_id % 3 = 0 then 'app' else 'log' end as origin,
+        'none' as grade, case when event_type = 'purchase' then value end as purchase from events""",
     "append_to_catalog_table": """select event_id, event_type, value, cast(null as varchar) as note,
         'event_id,event_type,value' as written from events""",
     "parquet_batch": """select event_id, user_id as "first", event_id as "second", cast(null as varchar) as note

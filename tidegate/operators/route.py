@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from itertools import chain
 
 from pyspark.sql import Column, DataFrame
@@ -10,25 +11,17 @@ from pyspark.sql import functions as F
 
 def parse_mapping(text: str | None) -> dict[str, str]:
     """``topic1:table1,topic2:table2`` as a dict. The mapping must be one-to-one and well-formed."""
-    mapping: dict[str, str] = {}
     if text is None or not text.strip():
-        return mapping
-    for pair in text.split(","):
-        pair = pair.strip()
-        if not pair:
-            raise ValueError("Empty mapping found in topic to table configuration")
-        parts = [p.strip() for p in pair.split(":")]
-        if len(parts) != 2:
-            raise ValueError(f"Invalid mapping format '{pair}'. Expected format: 'topic:table'")
-        topic, table = parts
-        if not topic or not table:
-            raise ValueError(f"{'Topic' if not topic else 'Table'} name cannot be empty in mapping '{pair}'")
-        if topic in mapping:
-            raise ValueError(f"Duplicate topic '{topic}' found in topic to table mapping")
-        if table in mapping.values():
-            raise ValueError(f"Duplicate table '{table}' found in topic to table mapping")
-        mapping[topic] = table
-    return mapping
+        return {}
+    pairs = [[side.strip() for side in entry.split(":")] for entry in text.split(",")]
+    malformed = [":".join(p) for p in pairs if len(p) != 2 or not all(p)]
+    if malformed:
+        raise ValueError(f"Not a 'topic:table' pair: {malformed}")
+    for side, names in zip(("topics", "tables"), zip(*pairs)):
+        repeated = [n for n, times in Counter(names).items() if times > 1]
+        if repeated:
+            raise ValueError(f"The topic mapping repeats {side}: {repeated}")
+    return dict(pairs)
 
 
 def table_of(topic: Column, mapping: dict[str, str]) -> Column:

@@ -57,16 +57,16 @@ class PostProcess:
         try:
             config = json.loads(text)
         except json.JSONDecodeError as e:
-            raise ValueError(f"Invalid JSON for post-processing script: {e}") from e
+            raise ValueError(f"The post-processing setting is not JSON: {e}") from e
         if not isinstance(config, dict):
-            raise ValueError("Post-processing must be a JSON object")
+            raise ValueError("The post-processing setting must hold one JSON object")
         scripts = []
         for mapping in config.get("mappings") or []:
             table, sql, file = ((mapping.get(k) or "").strip() for k in ("table", "script", "scriptFile"))
             if not table:
-                raise ValueError("Each mapping requires non-empty 'table'")
+                raise ValueError(f"Post-processing entry names no table: {mapping}")
             if bool(sql) == bool(file):
-                raise ValueError("Each mapping requires exactly one of 'script' and 'scriptFile'")
+                raise ValueError(f"Post-processing of {table} needs a script or a scriptFile, not both")
             scripts.append(
                 Script(
                     table,

@@ -117,6 +117,14 @@ def test_spellings(spark, envelope):
     assert got == {0: (1, 2), 1: "ambiguous_column", 2: (3, None), 3: (None, 5), 4: (4, None), 5: (None, None)}
 
 
+def test_typed_records_have_a_size_limit_too(spark):
+    schema = "topic string, partition int, offset bigint, timestamp timestamp, key binary, value struct<a:string>"
+    rows = [("t", 0, i, None, None, v) for i, v in enumerate([("x",), ("x" * 100,), None])]
+    out = tg.plan_rows(spark.createDataFrame(rows, schema), TableSpec.from_ddl("t", "a TEXT"), max_bytes=50)
+    got = {r["offset"]: r["reason"] for r in out.select("_src.offset", "_error.reason").collect()}
+    assert got == {0: None, 1: "too_large", 2: "no_converter"}
+
+
 def test_first_failing_column_in_table_order(spark, envelope):
     spec = TableSpec.from_ddl("t", "a INTEGER, b DATE NOT NULL, c BOOLEAN")
     row = tg.plan_rows(envelope([("t", 0, 0, '{"c":"x","b":"y"}')]), spec).first()

@@ -163,8 +163,11 @@ def _rekey(spec: TableSpec) -> str:
     return f"concat('{{', array_join(transform({wanted}, e -> {member}), ','), '}}')"
 
 
-def decode_typed(df: DataFrame, spec: TableSpec, value: str = "value") -> DataFrame:
-    """Typed records: ``value`` is a struct column whose field types are known while the plan is built."""
+def decode_typed(df: DataFrame, spec: TableSpec, value: str = "value", max_bytes: int | None = None) -> DataFrame:
+    """Typed records: ``value`` is a struct column whose field types are known while the plan is built.
+
+    The size of a typed record, where it is limited, is that of its JSON form.
+    """
     value_type = df.schema[value].dataType
     if not isinstance(value_type, T.StructType):
         raise TypeError(f"Column '{value}' is {value_type.simpleString()}, expected a struct")
@@ -181,7 +184,10 @@ def decode_typed(df: DataFrame, spec: TableSpec, value: str = "value") -> DataFr
         # A NULL record has nothing to print; anything else is kept as JSON for the dead-letter table.
         F.expr(C.to_json_text(quote(value))).cast("binary").alias("value"),
     )
-    status = F.when(col(value).isNull(), error(NO_CONVERTER)).otherwise(error(AMBIGUOUS) if clash else no_error())
+    status = F.when(col(value).isNull(), error(NO_CONVERTER))
+    if max_bytes is not None:
+        status = status.when(F.octet_length(F.expr(C.to_json_text(quote(value)))) > max_bytes, error(TOO_LARGE))
+    status = status.otherwise(error(AMBIGUOUS) if clash else no_error())
     return df.select(
         envelope.alias(SRC),
         F.struct(*fields).alias(DOC),
@@ -193,7 +199,7 @@ def decode_typed(df: DataFrame, spec: TableSpec, value: str = "value") -> DataFr
 def decode(df: DataFrame, spec: TableSpec, max_bytes: int | None = None) -> DataFrame:
     """Dispatch on the kind of record: a struct value is typed, bytes or text are schemaless JSON."""
     if isinstance(df.schema["value"].dataType, T.StructType):
-        return decode_typed(df, spec)
+        return decode_typed(df, spec, max_bytes=max_bytes)
     return decode_json(df, spec, max_bytes)
 
 

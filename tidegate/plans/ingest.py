@@ -127,7 +127,7 @@ def plan_rows(
     fixed = {k.lower() for k in constants or {}}
     read = TableSpec(spec.name, tuple(c for c in spec.columns if c.name.lower() not in fixed))
     if isinstance(envelope.schema["value"].dataType, T.StructType):
-        decoded = D.decode_typed(envelope, read)
+        decoded = D.decode_typed(envelope, read, max_bytes=max_bytes)
     else:
         # Casts work on VARIANT attributes, so with them the direct route does not apply.
         decoded = D.decode_json(envelope, read, max_bytes, None if casts else profile)

@@ -4,11 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .exact_dedup import exact_dedup
+from .packing import pack
 from .sharding import shard
+from .simhash import near_dedup
+
+
+def op1_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return pack(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op2_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    return near_dedup(table(spark, sf, "documents"))
 
 
 def op4_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
@@ -20,6 +31,8 @@ def op7_sharding(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_packing": op1_packing,
+    "op2_simhash": op2_simhash,
     "op4_exact_dedup": op4_exact_dedup,
     "op7_sharding": op7_sharding,
 }

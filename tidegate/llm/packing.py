@@ -143,13 +143,14 @@ def pack(
 
         held = 0
         for batch in batches:
-            for key, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist()), strict=True):
-                packer.document(key, ids + _END)
-                held += len(ids) // 4 + 1
-            if held >= BLOCK_TOKENS:
-                held = 0
-                packer.pack()
-                yield from closed()
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                ids = encoder.encode(text.as_py()) + _END
+                packer.document(key, ids)
+                held += len(ids) // 4
+                if held >= BLOCK_TOKENS:
+                    held = 0
+                    packer.pack()
+                    yield from closed()
         packer.pack(last=True)
         yield from closed()
 

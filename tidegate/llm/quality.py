@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from .common import text_of
 
 #: Rows of the positives and of the unlabelled texts that the model is fitted on, at most (in expectation).
-SAMPLE = 8000
+SAMPLE = 6000
 #: Score from which a text is predicted to be good.
 THRESHOLD = 0.7
 SEED = 42
@@ -41,7 +42,7 @@ def _byte_classes() -> np.ndarray:
 
 
 _CLASS = _byte_classes()
-SIZE = 10 + _CLASSES * _CLASSES
+SIZE = 12 + _CLASSES * _CLASSES
 
 
 def features(text: bytes) -> np.ndarray:
@@ -55,22 +56,23 @@ def features(text: bytes) -> np.ndarray:
     lines = [x for x in text.split(b"\n") if x.strip()]
     letters = sum(map(len, words))
     pairs = Counter(zip(words, words[1:]))
-    distinct = len(counts)
-    out[:10] = (
+    out[:12] = (
         np.log1p(n),
         letters / n,
         np.log1p(len(lines)),
         np.log1p(n / len(lines)),
         1 - len(set(lines)) / len(lines),
-        np.log(distinct) / np.log(n) if n > 1 else 1.0,
+        np.log(len(counts)) / np.log(n) if n > 1 else 1.0,
         1 - len(pairs) / max(1, n - 1),
         max(counts.values()) / n,
         sum(c for w, c in counts.items() if w.isupper()) / n,
         sum(c for w, c in counts.items() if len(w) == 1) / n,
+        sum(map(eq, words, words[1:])) / n,
+        np.log1p(20 * (1 - len(pairs) / max(1, n - 1))),
     )
     kind = _CLASS[np.frombuffer(text, np.uint8)]
     pair = kind[:-1].astype(np.int64) * _CLASSES + kind[1:]
-    out[10:] = np.log1p(np.bincount(pair, minlength=_CLASSES * _CLASSES) * (1000.0 / max(1, len(pair))))
+    out[12:] = np.log1p(np.bincount(pair, minlength=_CLASSES * _CLASSES) * (1000.0 / max(1, len(pair))))
     return out
 
 
@@ -123,7 +125,7 @@ def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
     return float(np.clip((wide / tail_p).min(), 0.05, 0.98))
 
 
-def fit(positive: np.ndarray, unlabelled: np.ndarray, steps: int = 400) -> Model:
+def fit(positive: np.ndarray, unlabelled: np.ndarray, steps: int = 300) -> Model:
     """The model of both samples; half of the positives are kept from the fit that estimates the prior."""
     both = np.vstack([positive, unlabelled]).astype(np.float64)
     mean, scale = both.mean(axis=0), both.std(axis=0)

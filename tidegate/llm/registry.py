@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .exact_dedup import exact_dedup
+from .html import extract
 from .packing import pack
+from .quality import classify
 from .sharding import shard
 from .simhash import near_dedup
 
@@ -22,10 +24,19 @@ def op2_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return near_dedup(table(spark, sf, "documents"))
 
 
+def op3_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    scored = classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 def op4_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup(table(spark, sf, "documents"))
 
 
+def op5_html(spark: SparkSession, sf: str) -> DataFrame:
+    return extract(table(spark, sf, "pages"))
+
+
 def op7_sharding(spark: SparkSession, sf: str) -> DataFrame:
     return shard(table(spark, sf, "documents"))
 
@@ -33,7 +44,9 @@ def op7_sharding(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_simhash": op2_simhash,
+    "op3_quality_classifier": op3_quality_classifier,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_html": op5_html,
     "op7_sharding": op7_sharding,
 }
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 from .exact_dedup import exact_dedup
 from .html import extract
+from .outliers import quality_rules
 from .packing import pack
 from .quality import classify
 from .sharding import shard
@@ -41,6 +42,10 @@ def op7_sharding(spark: SparkSession, sf: str) -> DataFrame:
     return shard(table(spark, sf, "documents"))
 
 
+def op9_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    return quality_rules(table(spark, sf, "documents")).drop("distance")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_simhash": op2_simhash,
@@ -48,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_html": op5_html,
     "op7_sharding": op7_sharding,
+    "op9_quality_rules": op9_quality_rules,
 }
 
 ORACLES = {

@@ -31,3 +31,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 def text_of(column: str | Column) -> Column:
     """A text, null as empty."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
+
+
+#: A staged table of at most so many (narrow) rows is broadcast; larger ones are joined by shuffling.
+BROADCAST_ROWS = 500_000
+
+
+def bounded(staged: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """The same table, marked for broadcast where a count shows that it is small enough."""
+    return F.broadcast(staged) if staged.count() <= rows else staged

@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .common import table
+from .common import table, text_of
 from .exact_dedup import exact_dedup
 from .html import extract
+from .line_dedup import line_dedup
 from .outliers import quality_rules
 from .packing import pack
 from .quality import classify
@@ -46,6 +48,12 @@ def op9_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality_rules(table(spark, sf, "documents")).drop("distance")
 
 
+def op10_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    cleaned = line_dedup(table(spark, sf, "documents").select("doc_id", "text"))
+    digest = F.sha2(text_of("text").cast("binary"), 256)
+    return cleaned.select("doc_id", "n_lines", "n_removed", "n_near", "n_links", digest.alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_simhash": op2_simhash,
@@ -54,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_html": op5_html,
     "op7_sharding": op7_sharding,
     "op9_quality_rules": op9_quality_rules,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 ORACLES = {

@@ -17,6 +17,7 @@ from .packing import pack
 from .quality import classify
 from .sharding import shard
 from .simhash import near_dedup
+from .substring_dedup import substring_dedup
 
 
 def op1_packing(spark: SparkSession, sf: str) -> DataFrame:
@@ -44,6 +45,11 @@ def op7_sharding(spark: SparkSession, sf: str) -> DataFrame:
     return shard(table(spark, sf, "documents"))
 
 
+def op8_suffix_array_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    left = substring_dedup(table(spark, sf, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
 def op9_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality_rules(table(spark, sf, "documents")).drop("distance")
 
@@ -61,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_html": op5_html,
     "op7_sharding": op7_sharding,
+    "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_line_dedup": op10_line_dedup,
 }

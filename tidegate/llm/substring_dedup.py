@@ -336,7 +336,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     keyed = docs.select(*(F.col(f"`{c}`") for c in others), F.col(text_col).alias("__text"), rank.alias("__rank"), F.unhex(F.md5(data)).alias("__digest"))
     marked = bounded(found.select(F.col("rank").alias("__rank"), F.col("digest").alias("__digest"), F.col("spans").alias("__spans"), F.lit(True).alias("__found")))
     joined = keyed.join(marked, ["__rank", "__digest"], "left").select(*(F.col(f"`{c}`") for c in others), F.col("__text").cast("binary").alias("__text"), "__spans", "__found")
-    schema = joined.select(*(F.col(f"`{c}`") for c in others), "__text", *(F.lit(0).cast("long").alias(c) for c in named[:3]), F.lit("").alias("__left")).schema
+    schema = joined.select(*(F.col(f"`{c}`") for c in others), "__text", *(F.lit(0).cast("long").alias(c) for c in named[:3]), F.lit(None).cast("string").alias("__left")).schema
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

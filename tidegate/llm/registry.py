@@ -18,6 +18,7 @@ from .quality import classify
 from .sharding import shard
 from .simhash import near_dedup
 from .substring_dedup import substring_dedup
+from .transducer import encode
 
 
 def op1_packing(spark: SparkSession, sf: str) -> DataFrame:
@@ -41,6 +42,11 @@ def op5_html(spark: SparkSession, sf: str) -> DataFrame:
     return extract(table(spark, sf, "pages"))
 
 
+def op6_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
+    coded = encode(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return coded.select("doc_id", "n_ids", "ids_crc32", "n_byte_ids", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def op7_sharding(spark: SparkSession, sf: str) -> DataFrame:
     return shard(table(spark, sf, "documents"))
 
@@ -66,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_classifier": op3_quality_classifier,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_html": op5_html,
+    "op6_sentencepiece": op6_sentencepiece,
     "op7_sharding": op7_sharding,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_quality_rules": op9_quality_rules,

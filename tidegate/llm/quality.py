@@ -92,7 +92,7 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def _descend(p: np.ndarray, u: np.ndarray, prior: float | None, steps: int, rate: float = 0.02, decay: float = 2e-3) -> tuple[np.ndarray, float]:
+def _descend(p: np.ndarray, u: np.ndarray, prior: float | None, steps: int, rate: float = 0.02, decay: float = 1e-2) -> tuple[np.ndarray, float]:
     """Adam on the non-negative risk with logistic loss; without a prior, on positives against unlabelled, equally weighted."""
     w, m, v = (np.zeros(p.shape[1] + 1) for _ in range(3))
     p, u = (np.hstack([x, np.ones((len(x), 1))]) for x in (p, u))
@@ -116,23 +116,26 @@ def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
     """Share of positives in the unlabelled scores: the least ratio of the two tails above a threshold.
 
     Negatives lie low, so above a threshold that still passes most positives the unlabelled tail is the positives' share
-    of it and little else. Tails are widened by one standard error, so that few rows do not look like a low ratio.
+    of it and little else.
     """
     cuts = np.quantile(positive, np.linspace(0.005, 0.5, 100))
     tail_p = 1 - np.searchsorted(np.sort(positive), cuts) / len(positive)
     tail_u = 1 - np.searchsorted(np.sort(unlabelled), cuts) / len(unlabelled)
-    wide = tail_u + np.sqrt(tail_u * (1 - tail_u) / len(unlabelled))
-    return float(np.clip((wide / tail_p).min(), 0.05, 0.98))
+    return float(np.clip((tail_u / tail_p).min(), 0.05, 0.98))
 
 
 def fit(positive: np.ndarray, unlabelled: np.ndarray, steps: int = 300) -> Model:
-    """The model of both samples; half of the positives are kept from the fit that estimates the prior."""
+    """The model of both samples. The prior is the mean of two estimates, each from a half that its scorer has not seen."""
     both = np.vstack([positive, unlabelled]).astype(np.float64)
     mean, scale = both.mean(axis=0), both.std(axis=0)
     scale = np.where(scale < 1e-6, 1.0, np.maximum(scale, 0.05))
     p, u = (np.clip((x - mean) / scale, -8, 8) for x in (positive.astype(np.float64), unlabelled.astype(np.float64)))
-    w, b = _descend(p[::2], u[::2], None, steps)
-    prior = estimate_prior(p[1::2] @ w + b, u[1::2] @ w + b)
+    estimates = []
+    for half in (0, 1):
+        if min(len(p), len(u)) > 1:
+            w, b = _descend(p[half::2], u[half::2], None, steps)
+            estimates.append(estimate_prior(p[1 - half :: 2] @ w + b, u[1 - half :: 2] @ w + b))
+    prior = float(np.mean(estimates)) if estimates else 0.5
     w, b = _descend(p, u, prior, steps)
     return Model(mean, scale, w, b, prior)
 

@@ -64,35 +64,47 @@ def _rest_keys() -> str:
 
 
 def within(a: str, b: str, edits: int = EDITS) -> Column:
-    """Whether two lines (columns of code points, arrays ``a`` and ``b`` with ``size(a) >= size(b)``) are at most ``edits`` edits apart.
+    """Whether two lines (columns ``a`` and ``b``, the shorter) are at most ``edits`` edits apart.
 
     Bit-parallel, in a band: bit ``t`` of a column's words stands for the row ``edits - t`` above to ``edits`` below the
-    diagonal. The distance is followed down the band's lower edge and, past the end of ``a``, along its last row.
+    diagonal. The distance is followed down the band's lower edge and, past the end of ``a``, along its last row. Each
+    ``transform(array(..), v -> ..)[0]`` names a value that is computed once.
     """
     top, whole = 2 * edits, (1 << (2 * edits + 1)) - 1
-    same = " | ".join(f"if(get({a}, i + {t - edits}) <=> c, {1 << t}, 0)" for t in range(top + 1))
-    last = f"(i + {edits} >= size({a}))"
-    # i counts the columns; the row at the end of a lies on bit size(a) - 1 - i + edits
-    end = f"shiftleft(1, size({a}) - 1 - i + {edits})"
-    step = f"""
-        aggregate({b}, struct({whole & ~((1 << edits) - 1)} as vp, 0 as vn, {edits} as d, 0 as i), (s, c) -> transform(array(
-            struct(s.vp as vp, s.vn as vn, s.d as d, s.i as i, ({same.replace("i +", "s.i +")}) as x)), r ->
-            transform(array(struct(r.vp as vp, r.vn as vn, r.d as d, r.i as i, ((((((r.x & r.vp) + r.vp) ^ r.vp) | r.x | r.vn)) & {whole}) as d0)), u ->
+    same = " | ".join(f"if(get(p.x, s.i + {t - edits}) <=> c, {1 << t}, 0)" for t in range(top + 1))
+    # past the end of a, its last row lies on this bit of the column
+    end = f"shiftleft(1, size(p.x) - 1 - v.i + {edits})"
+    return F.expr(f"""
+        transform(array(struct(split({a}, '') as x, split({b}, '') as y)), p ->
+        aggregate(p.y, struct({whole & ~((1 << edits) - 1)} as vp, 0 as vn, {edits} as d, 0 as i), (s, c) ->
+            transform(array(struct(s.vp as vp, s.vn as vn, s.d as d, s.i as i, ({same}) as m)), r ->
+            transform(array(struct(r.vp as vp, r.vn as vn, r.d as d, r.i as i, ((((r.m & r.vp) + r.vp) ^ r.vp | r.m | r.vn) & {whole}) as d0)), u ->
             transform(array(struct(u.d0 as d0, u.d as d, u.i as i, ((u.vn | ~(u.d0 | u.vp)) & {whole}) as hp, (u.d0 & u.vp) as hn)), v ->
             struct(
                 ((v.hn | ~(shiftright(v.d0, 1) | v.hp)) & {whole}) as vp,
                 (shiftright(v.d0, 1) & v.hp) as vn,
-                (case when not {last.replace("i +", "v.i +")} then v.d + if((v.d0 & {1 << top}) = 0, 1, 0)
-                      else v.d + if((v.hp & {end.replace("- i", "- v.i")}) <> 0, 1, 0) - if((v.hn & {end.replace("- i", "- v.i")}) <> 0, 1, 0) end) as d,
-                v.i + 1 as i))[0])[0])[0], s -> s.d <= {edits})"""
-    return F.expr(step)
+                (case when v.i + {edits} < size(p.x) then v.d + if((v.d0 & {1 << top}) = 0, 1, 0)
+                      else v.d + if((v.hp & {end}) <> 0, 1, 0) - if((v.hn & {end}) <> 0, 1, 0) end) as d,
+                v.i + 1 as i))[0])[0])[0], s -> s.d <= {edits}))[0]""")
+
+
+def _parity() -> Column:
+    """64 bits of a line: the parity of how often each class of characters occurs. An edit turns two of them at most."""
+    return F.expr("aggregate(split(line, ''), 0L, (x, c) -> x ^ shiftleft(1L, pmod(ascii(c), 64)))")
 
 
 def _pairs(members: DataFrame) -> DataFrame:
-    """Pairs of different lines with a segment key in common and lengths within the edits."""
-    left, right = members.select("h", "k", "size"), members.select("h", F.col("k").alias("other"), F.col("size").alias("other_size"))
-    near = left.join(right, "h").filter((F.col("k") < F.col("other")) & (F.abs(F.col("size") - F.col("other_size")) <= EDITS))
-    return near.select("k", "other").distinct()
+    """Pairs of different lines with a segment key in common whose lengths and parities allow for the edits."""
+    left, right = members.select("h", "k", "size", "parity"), members.select("h", *(F.col(c).alias(f"other_{c}") for c in ("k", "size", "parity")))
+    near = (F.abs(F.col("size") - F.col("other_size")) <= EDITS) & (F.bit_count(F.col("parity").bitwiseXOR(F.col("other_parity"))) <= 2 * EDITS)
+    return left.join(right, (left["h"] == right["h"]) & (F.col("k") < F.col("other_k")) & near).select("k", F.col("other_k").alias("other")).distinct()
+
+
+def _alike(pieces: int = 8) -> Column:
+    """Of lines ``x`` and ``y``, the shorter: all pieces of ``y`` but one per edit stand in ``x`` within the edits of their place."""
+    width = f"(length(y) div {pieces})"
+    found = [f"if(locate(substring(y, {i} * {width} + 1, {width}), substring(x, greatest(1, {i} * {width} + {1 - EDITS}), {width} + {2 * EDITS})) > 0, 1, 0)" for i in range(pieces)]
+    return F.expr(f"{' + '.join(found)} >= {pieces - EDITS}")
 
 
 def _links(occurrences: DataFrame) -> DataFrame:
@@ -101,16 +113,19 @@ def _links(occurrences: DataFrame) -> DataFrame:
     segments = stage(long.select("k", "size", F.expr(f"explode({_segment_keys('line', 'size')})").alias("h")), "line-segments")
     shared = segments.groupBy("h").agg(F.min("k").alias("low"), F.max("k").alias("high")).filter("low < high").select("h")
     members = stage(segments.join(bounded(stage(shared, "line-shared")), "h").distinct(), "line-members")
-    texts = stage(long.join(bounded(stage(members.select("k").distinct(), "line-candidates")), "k").distinct(), "line-texts")
+    texts = long.join(bounded(stage(members.select("k").distinct(), "line-candidates")), "k").distinct()
+    texts = stage(texts.withColumn("parity", _parity()), "line-texts")
     crowds = stage(members.groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") > CROWD).select("h", F.lit(True).alias("crowd")), "line-crowds")
     told = members.join(crowds, "h", "left")
+    apart = told.filter("crowd is null").select("h", "k").join(texts.select("k", "size", "parity"), "k")
     again = told.filter("crowd").select("h", "k").join(texts, "k")
-    again = stage(again.select("k", "size", F.expr(f"explode({_rest_keys()})").alias("h")).distinct(), "line-crowd-members")
-    candidates = stage(_pairs(told.filter("crowd is null").drop("crowd")).unionAll(_pairs(again)).distinct(), "line-pairs")
-    letters = texts.select("k", F.split("line", "").alias("c"))
-    both = candidates.join(letters.withColumnRenamed("c", "x"), "k").join(letters.select(F.col("k").alias("other"), F.col("c").alias("y")), "other")
-    longer, shorter = F.when(F.size("x") >= F.size("y"), F.col("x")).otherwise(F.col("y")), F.when(F.size("x") >= F.size("y"), F.col("y")).otherwise(F.col("x"))
-    verified = both.select("k", "other", longer.alias("x"), shorter.alias("y")).filter(within("x", "y"))
+    again = stage(again.select("k", "size", "parity", F.expr(f"explode({_rest_keys()})").alias("h")).distinct(), "line-crowd-members")
+    candidates = stage(_pairs(apart).unionAll(_pairs(again)).distinct(), "line-pairs")
+    lines = texts.select("k", "line")
+    both = candidates.join(lines.withColumnRenamed("line", "p"), "k").join(lines.select(F.col("k").alias("other"), F.col("line").alias("q")), "other")
+    longer, shorter = F.when(F.length("p") >= F.length("q"), F.col("p")).otherwise(F.col("q")), F.when(F.length("p") >= F.length("q"), F.col("q")).otherwise(F.col("p"))
+    alike = both.select("k", "other", longer.alias("x"), shorter.alias("y")).filter(_alike())
+    verified = alike.filter(within("x", "y"))
     return stage(verified.select(F.col("k").alias("a"), F.col("other").alias("b")), "line-links")
 
 

@@ -29,7 +29,7 @@ WINDOW = 50
 ANCHOR = 20
 CHUNK_BYTES = 2_000_000
 #: Bytes of text per bucket of hashes, and per shard of stretches.
-BUCKET_BYTES, SHARD_BYTES = 32_000_000, 16_000_000
+BUCKET_BYTES, SHARD_BYTES = 32_000_000, 4_000_000
 LEAST_PARTS = 64
 #: Windows of one stretch at most.
 STRETCH = 250
@@ -162,13 +162,20 @@ def _send_hashes(buckets: int):
     return part
 
 
+def _among(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+    """Which values are in an ordered array."""
+    if not len(ordered):
+        return np.zeros(len(values), bool)
+    return ordered[np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)] == values
+
+
 def _shared_hashes(table: pa.Table) -> pa.Table:
     """Of one bucket, per chunk: the hashes that occur in two documents."""
     rows = [np.frombuffer(h.as_py(), np.uint32) for h in table.column("hashes")]
     several = [np.unpackbits(np.frombuffer(m.as_py(), np.uint8), count=len(r)).astype(bool) for m, r in zip(table.column("several"), rows, strict=True)]
-    everything, count = np.unique(np.concatenate(rows), return_counts=True)
-    twice = everything[count > 1]
-    found = [r[m | (np.isin(r, twice, assume_unique=False))] for r, m in zip(rows, several, strict=True)]
+    everything = np.sort(np.concatenate(rows))
+    twice = everything[1:][everything[1:] == everything[:-1]]
+    found = [r[m | _among(r, twice)] for r, m in zip(rows, several, strict=True)]
     keep = [i for i, f in enumerate(found) if len(f)]
     return pa.table(
         {
@@ -191,7 +198,7 @@ def _send_stretches(buckets: int, shards: int):
                 bucket, short = _short(hashes, buckets)
                 wanted = np.concatenate([(np.uint64(n) << np.uint64(32)) | np.frombuffer(s, np.uint32).astype(np.uint64) for n, s in zip(names.as_py(), shared.as_py(), strict=True)])
                 key = (bucket << np.uint64(32)) | short
-                chosen = np.flatnonzero(np.isin(key, wanted))
+                chosen = np.flatnonzero(_among(key, np.sort(wanted)))
                 doc = np.searchsorted(starts, first[chosen], side="right") - 1
                 shard = (hashes[chosen] >> np.uint64(7)) % np.uint64(shards)
                 order = np.argsort(shard, kind="stable")
@@ -224,13 +231,13 @@ def _combined(raw: bytes, first: np.ndarray, count: np.ndarray, doc: np.ndarray,
 def repeated_windows(texts: list[bytes], ranks: np.ndarray) -> list[np.ndarray]:
     """For each text, which of its windows also starts in a text of smaller rank: suffix array, common prefixes, classes."""
     sizes = np.array([len(x) for x in texts])
-    joined = np.zeros(int(sizes.sum()) + len(texts) + 1, np.int64)
+    joined = np.zeros(int(sizes.sum()) + len(texts) + 1, np.uint16)
     ends = np.cumsum(sizes + 1)
     begins = ends - sizes - 1
     body = np.ones(len(joined), bool)
     body[ends - 1] = False
     body[-1] = False
-    joined[body] = np.frombuffer(b"".join(texts), np.uint8).astype(np.int64) + 2
+    joined[body] = np.frombuffer(b"".join(texts), np.uint8).astype(np.uint16) + 2
     joined[ends - 1] = 1
     sa = suffix_array(joined)
     shared = common_prefixes(joined, sa, WINDOW)

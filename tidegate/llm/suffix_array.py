@@ -24,7 +24,7 @@ def _classify(t: np.ndarray) -> np.ndarray:
 def _induce(t: np.ndarray, s_type: np.ndarray, lms: np.ndarray, heads: np.ndarray, tails: np.ndarray) -> np.ndarray:
     """All suffixes sorted by their first differing LMS substrings, from LMS positions given in order."""
     n = len(t)
-    sa = np.full(n, -1, np.int64)
+    sa = np.full(n, -1, np.int32)
     chars = t[lms]
     counts = np.bincount(chars, minlength=len(heads))
     first = np.cumsum(counts) - counts
@@ -86,44 +86,54 @@ def _induce(t: np.ndarray, s_type: np.ndarray, lms: np.ndarray, heads: np.ndarra
 
 
 def _doubling(t: np.ndarray) -> np.ndarray:
-    """Suffix array by rank doubling."""
-    n, rank, width = len(t), np.unique(t, return_inverse=True)[1].astype(np.int64), 1
+    """Suffix array by rank doubling, from three symbols on where they fit in one word."""
+    n = len(t)
+    rank, size = t.astype(np.int64) + 1, int(t.max()) + 2
+    width = 1
+    if size < 2**21:
+        rank = np.r_[rank, 0, 0]
+        rank = (rank[:-2] * size + rank[1:-1]) * size + rank[2:]
+        width = 3
+    following = np.zeros(n, np.int64)
     while True:
-        following = np.zeros(n, np.int64)
-        if width < n:
-            following[:-width] = rank[width:] + 1
-        order = np.argsort(rank * (n + 2) + following, kind="stable")
-        key = (rank * (n + 2) + following)[order]
+        order = np.argsort(rank)
+        key = rank[order]
         new = np.cumsum(np.r_[0, key[1:] != key[:-1]])
-        rank = np.empty(n, np.int64)
-        rank[order] = new
         if new[-1] == n - 1:
             return order
+        rank = np.empty(n, np.int64)
+        rank[order] = new
+        following[:] = 0
+        if width < n:
+            following[:-width] = rank[width:] + 1
+        rank = rank * (n + 2) + following
         width *= 2
 
 
 def suffix_array(t: np.ndarray) -> np.ndarray:
     """Starts of the suffixes of ``t`` (non-negative integers, ended by a unique smallest 0) in order."""
-    t = t.astype(np.int64, copy=False)
     n = len(t)
+    if n >= 2**31:
+        raise ValueError("a text of 2 GB or more is to be cut into shards")
     if n <= 2:
         return np.arange(n - 1, -1, -1)
     size = int(t.max()) + 1
     if size > max(_BUCKETED, 300):
         return _doubling(t)
+    t = t.astype(np.uint16, copy=False)  # the smaller the text, the more of it is in the processor's cache
     s_type = _classify(t)
     is_lms = np.zeros(n, bool)
     is_lms[1:] = s_type[1:] & ~s_type[:-1]
     counts = np.bincount(t, minlength=size)
     tails = np.cumsum(counts)
     heads = tails - counts
-    lms = np.flatnonzero(is_lms)
+    lms = np.flatnonzero(is_lms).astype(np.int32)
     if len(lms) < 2:
         return _induce(t, s_type, lms, heads, tails)
     rough = _induce(t, s_type, lms, heads, tails)
     ordered = rough[is_lms[rough]]
     # name the LMS substrings: equal neighbours share a name
-    nth = np.empty(n, np.int64)
+    nth = np.empty(n, np.int32)
     nth[lms] = np.arange(len(lms))
     ends = np.r_[lms[1:], n - 1]
     length = ends - lms + 1
@@ -151,17 +161,24 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
 def common_prefixes(t: np.ndarray, sa: np.ndarray, most: int) -> np.ndarray:
     """Permuted common prefixes: at each text position, what its suffix shares with its predecessor in ``sa``, up to ``most``."""
     n = len(t)
-    before = np.full(n, -1, np.int64)
-    before[sa[1:]] = sa[:-1]
+    # several symbols at a time: words of up to seven, compared whole, then the first difference is looked for
+    bits, per = (9, 7) if int(t.max()) < 510 else (62, 1)
+    padded = np.concatenate([t.astype(np.uint64) + np.uint64(1), np.zeros(most + per, np.uint64)])
+    word = np.zeros(n + most, np.uint64)
+    for k in range(per):
+        word |= padded[k : k + n + most] << np.uint64(bits * k)
     out = np.zeros(n, np.int32)
-    padded = np.r_[t, np.full(most, -1, t.dtype)]
-    live = np.flatnonzero(before >= 0)
-    other = before[live]
-    for k in range(most):
-        equal = padded[live + k] == padded[np.minimum(other + k, n + most - 1)]
-        equal &= padded[live + k] >= 0
-        live, other = live[equal], other[equal]
+    live, other = sa[1:].astype(np.int64), sa[:-1].astype(np.int64)
+    order = np.argsort(live)  # in text order
+    live, other = live[order], other[order]
+    for at in range(0, most, per):
+        differ = word[live + at] ^ word[other + at]
+        stop = differ != 0
+        if stop.any():
+            low = differ[stop] & (~differ[stop] + np.uint64(1))  # the lowest bit that differs
+            out[live[stop]] = np.minimum(at + np.log2(low.astype(np.float64)).astype(np.int64) // bits, most)
+            live, other = live[~stop], other[~stop]
         if not len(live):
             break
-        out[live] = k + 1
+    out[live] = most
     return out

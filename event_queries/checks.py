@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from event_queries.common import bigint, micros, scratch, spread_event_log, table
+from event_queries.common import bigint, event_log, micros, scratch, table
 from tidegate import (
     TableSpec,
     check_checksum,
@@ -27,7 +27,7 @@ CLICKS = TableSpec.from_ddl("clicks", "event_id BIGINT NOT NULL, user_id BIGINT"
 
 
 def _landed(spark: SparkSession, sf: str) -> DataFrame:
-    valid, _ = split_valid(plan_rows(spread_event_log(spark, sf), CLICKS), CLICKS)
+    valid, _ = split_valid(plan_rows(event_log(spark, sf), CLICKS), CLICKS)
     return valid
 
 
@@ -105,7 +105,7 @@ def compare_months(spark: SparkSession, sf: str) -> DataFrame:
     events = table(spark, sf, "events")
     per_user = [
         events.where(half).groupBy("user_id").agg(F.count(F.lit(1)).alias("records"))
-        for half in ("day(ts) >= 16", "day(ts) < 15 and user_id % 10 > 0")
+        for half in ("day(ts) >= 16", "day(ts) < 16 and user_id % 10 > 0")
     ]
     judged = compare_runs(*per_user, by=["user_id"], metric="records")
     return judged.withColumn("percent", F.round(F.col("percent"), 6))
@@ -210,7 +210,7 @@ ORACLES = {
         case when pct >= 5 then 'good' when pct >= -5 then 'ok' when pct is not null then 'warn' end as verdict
         from (select c.user_id, c.n as c, b.n as b, (c.n - b.n) / b.n * 100 as pct
             from (select user_id, count(*) as n from events where day(ts) >= 16 group by 1) c
-            left join (select user_id, count(*) as n from events where day(ts) < 15 and user_id % 10 > 0 group by 1) b
+            left join (select user_id, count(*) as n from events where day(ts) < 16 and user_id % 10 > 0 group by 1) b
             on c.user_id = b.user_id)""",
     "sequence_log": """select id, rpad('record-' || id, cast(greatest(12, length('record-' || id)) as integer), 'x') as name,
         id * cast(1.1 as double) as value, (id + 1704067200) * 1000000 as "timestamp"

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,8 +18,8 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder in the shared place the session names; a local one only where it names none."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    """A new folder in the shared place the session names, or beside the warehouse where it names none."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
     return f"{shared.rstrip('/')}/tidegate-{uuid4().hex}"
 
 
@@ -38,12 +37,6 @@ def event_json(*extra: Column) -> Column:
     return F.to_json(F.struct(*event_fields(), *extra))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A scan of fewer splits than cores (one small file) over all cores; larger inputs are left as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def as_log(events: DataFrame, value: Column) -> DataFrame:
     """Events as a topic log: topic = event type, partition = user, offset = event id (rising within a partition)."""
     return to_envelope(
@@ -61,11 +54,6 @@ def event_log(spark: SparkSession, sf: str, *extra: Column) -> DataFrame:
     return as_log(table(spark, sf, "events"), event_json(*extra))
 
 
-def spread_event_log(spark: SparkSession, sf: str, *extra: Column) -> DataFrame:
-    """The same for queries whose time goes into parsing."""
-    return as_log(spread(table(spark, sf, "events")), event_json(*extra))
-
-
 def micros(c: str | Column) -> Column:
     """A timestamp of either kind as microseconds, for comparison across engines."""
     return F.unix_micros((F.col(c) if isinstance(c, str) else c).cast("timestamp"))

@@ -12,8 +12,6 @@ from event_queries.common import (
     event_log,
     micros,
     scratch,
-    spread,
-    spread_event_log,
     table,
 )
 from tidegate import (
@@ -55,6 +53,7 @@ from tidegate.functions.names import sanitized
 from tidegate.operators.decode import ERROR, SRC
 
 MAPPING = "click: clicks, view: page_views"
+TYPES = ("click", "view", "purchase", "signup", "error")
 EVENTS = TableSpec.from_ddl(
     "events", "event_id BIGINT NOT NULL, ts TIMESTAMP, user_id BIGINT, event_type TEXT, value DOUBLE PRECISION"
 )
@@ -83,7 +82,7 @@ def subscribed_topics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def decode_schemaless(spark: SparkSession, sf: str) -> DataFrame:
-    log = as_log(spread(table(spark, sf, "events")), F.col("props"))
+    log = as_log(table(spark, sf, "events"), F.col("props"))
     rows = plan_rows(log, TableSpec.from_ddl("props", "k BIGINT NOT NULL"))
     return rows.select(F.col(f"{SRC}.offset").alias("event_id"), "k")
 
@@ -129,14 +128,14 @@ def decode_typed_records(spark: SparkSession, sf: str) -> DataFrame:
 
 def resolve_columns_ci(spark: SparkSession, sf: str) -> DataFrame:
     upper = F.struct(*[c.alias(n.upper()) for c, n in zip(event_fields(), EVENTS.names)], F.lit("x").alias("Extra"))
-    rows = plan_rows(as_log(spread(table(spark, sf, "events")), F.to_json(upper)), EVENTS)
+    rows = plan_rows(as_log(table(spark, sf, "events"), F.to_json(upper)), EVENTS)
     valid, _ = split_valid(rows, EVENTS)
     return valid.withColumn("ts", micros("ts"))
 
 
 def mixed_spelling(spark: SparkSession, sf: str) -> DataFrame:
     """Attribute spelling that changes from record to record, and records that spell one column twice."""
-    events = spread(table(spark, sf, "events"))
+    events = table(spark, sf, "events")
     kind = F.col("event_id") % 3
     payload = (
         F.when(kind == 0, F.to_json(F.struct("user_id", "value")))
@@ -166,7 +165,7 @@ def unknown_attribute_report(spark: SparkSession, sf: str) -> DataFrame:
 def cast_fields_by_topic(spark: SparkSession, sf: str) -> DataFrame:
     casts = {"purchase": {"value": "int64"}, "cl.*": {"user_id": "string", "value": "int8"}}
     spec = TableSpec.from_ddl("t", "event_id BIGINT, user_id TEXT, value DOUBLE")
-    rows = plan_rows(spread_event_log(spark, sf), spec, casts=casts)
+    rows = plan_rows(event_log(spark, sf), spec, casts=casts)
     return rows.select(
         F.col(f"{SRC}.offset").alias("event_id"), "user_id", "value", F.col(f"{ERROR}.column").alias("failed")
     )
@@ -207,7 +206,7 @@ def advance_ledger(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dead_letter_reasons(spark: SparkSession, sf: str) -> DataFrame:
-    events = spread(table(spark, sf, "events"))
+    events = table(spark, sf, "events")
     kind = F.col("event_id") % 8
     payload = (
         F.when(kind == 0, F.lit("not json"))
@@ -271,7 +270,7 @@ def post_process_script(spark: SparkSession, sf: str) -> DataFrame:
         "WHERE batch_id = '${batch_id}'",
         target="processed",
     )
-    mapping = {"click": "staging"}
+    mapping = {t: "staging" for t in TYPES}
     config = IngestConfig(
         {"staging": staging}, {"processed": target}, mapping, post_process=PostProcess((script,)), tolerance="all"
     )
@@ -295,7 +294,7 @@ def merge_script(spark: SparkSession, sf: str) -> DataFrame:
         keys=("user_id",),
         update=("event_id", "value"),
     )
-    mapping = {t: "staging" for t in ("view",)}
+    mapping = {t: "staging" for t in TYPES}
     config = IngestConfig({"staging": staging}, {"users": target}, mapping, post_process=PostProcess((script,)))
     store = TableStore(spark, scratch(spark), merge_buckets=8)
     log = event_log(spark, sf)
@@ -304,15 +303,37 @@ def merge_script(spark: SparkSession, sf: str) -> DataFrame:
     return store.read(target)
 
 
+def scripts_share_target(spark: SparkSession, sf: str) -> DataFrame:
+    """Two tables whose scripts append to one target and merge into one other, in one batch: nothing is overwritten."""
+    columns = "event_id BIGINT, user_id BIGINT, value DOUBLE"
+    tables = {name: TableSpec.from_ddl(name, columns) for name in ("odd", "even")}
+    log_of = TableSpec.from_ddl("seen", "event_id BIGINT, origin TEXT")
+    newest = TableSpec.from_ddl("newest", "user_id BIGINT, event_id BIGINT")
+    seen = PostProcess(tuple(Script(t, sql=f"SELECT event_id, '{t}' AS origin FROM batch", target="seen") for t in tables))
+    # narrower keys than the target's: they are hashed as the target's type
+    merged = PostProcess(tuple(Script(t, sql="SELECT cast(user_id AS int) AS user_id, max(event_id) AS event_id FROM batch GROUP BY 1", target="newest", keys=("user_id",)) for t in tables))
+    log = event_log(spark, sf)
+    log = log.withColumn("topic", F.when(F.col("offset") % 2 == 0, "even").otherwise("odd"))
+    store = TableStore(spark, scratch(spark), merge_buckets=8)
+    for epoch, scripts in (("append", seen), ("merge", merged)):
+        ingest_batch(log, epoch, IngestConfig(tables, {"seen": log_of, "newest": newest}, post_process=scripts), store)
+    # a store opened with another number of buckets goes on with the recorded one
+    again = IngestConfig({"odd": tables["odd"]}, {"newest": newest}, post_process=PostProcess(merged.scripts[:1]))
+    ingest_batch(log, "again", again, TableStore(spark, store.root, merge_buckets=3))
+    store = TableStore(spark, store.root)
+    rows = store.read(log_of).select("origin", "event_id", F.lit(None).cast("bigint").alias("user_id"))
+    return rows.unionByName(store.read(newest).select(F.lit("newest").alias("origin"), "event_id", "user_id"))
+
+
 def rolled_back_batch(spark: SparkSession, sf: str) -> DataFrame:
     """A failing script keeps its whole batch out; under tolerance all its records become dead letters."""
     spec = TableSpec.from_ddl("click", "event_id BIGINT, batch_id TEXT")
     failing = PostProcess((Script("click", sql="SELECT no_such_column FROM batch"),))
     store = TableStore(spark, scratch(spark))
-    log = event_log(spark, sf).where("topic = 'click'")
-    good = IngestConfig({"click": spec}, tolerance="all")
+    log, mapping = event_log(spark, sf), {t: "click" for t in TYPES}
+    good = IngestConfig({"click": spec}, mapping=mapping, tolerance="all")
     ingest_batch(log.where("partition = 0"), "good", good, store)
-    bad = IngestConfig({"click": spec}, tolerance="all", post_process=failing)
+    bad = IngestConfig({"click": spec}, mapping=mapping, tolerance="all", post_process=failing)
     ingest_batch(log.where("partition > 0"), "bad", bad, store)
     landed = store.read(spec).select(F.lit("landed").alias("outcome"), "event_id")
     dead = store.read_dead_letters("click").select(F.col("reason").alias("outcome"), F.col("offset").alias("event_id"))
@@ -324,7 +345,7 @@ def _stream(spark: SparkSession, sf: str, delivery: str) -> DataFrame:
     root = scratch(spark)
     event_log(spark, sf).write.parquet(f"{root}/log")
     spec = TableSpec.from_ddl("clicks", "event_id BIGINT NOT NULL, user_id BIGINT, value DOUBLE")
-    config = IngestConfig({"clicks": spec}, mapping={"click": "clicks"}, delivery=delivery)
+    config = IngestConfig({"clicks": spec}, mapping={t: "clicks" for t in TYPES}, delivery=delivery)
     for attempt in ("first", "second"):
         log = stream_topic_log(spark, f"{root}/log")
         query = start_ingest(log, config, f"{root}/store", f"{root}/checkpoint-{attempt}", available_now=True)
@@ -345,7 +366,7 @@ def at_least_once_stream(spark: SparkSession, sf: str) -> DataFrame:
 def ingest_events(spark: SparkSession, sf: str) -> DataFrame:
     """End to end: envelope, routing, decoding, coercion, quarantine, exactly-once append, and reading back."""
     store = TableStore(spark, scratch(spark))
-    mapping = {"click": "events"}
+    mapping = {t: "events" for t in TYPES}
     config = IngestConfig({"events": EVENTS}, mapping=mapping, delivery="exactly_once", tolerance="all")
     log = event_log(spark, sf)
     ingest_batch(log, "epoch-0", config, store)
@@ -383,7 +404,7 @@ def column_defaults(spark: SparkSession, sf: str) -> DataFrame:
     )
     origin = F.when(F.col("event_id") % 3 == 0, F.lit("app")).alias("origin")
     purchase = F.when(F.col("event_type") == "purchase", F.col("value")).alias("purchase")
-    rows = fill_defaults(plan_rows(spread_event_log(spark, sf, origin, purchase), spec), spec)
+    rows = fill_defaults(plan_rows(event_log(spark, sf, origin, purchase), spec), spec)
     valid, _ = split_valid(rows, spec)
     return valid
 
@@ -459,6 +480,7 @@ QUERIES = {
     "post_process_script": post_process_script,
     "merge_script": merge_script,
     "rolled_back_batch": rolled_back_batch,
+    "scripts_share_target": scripts_share_target,
     "exactly_once_stream": exactly_once_stream,
     "at_least_once_stream": at_least_once_stream,
     "ingest_events": ingest_events,
@@ -534,19 +556,23 @@ ORACLES = {
         from {_LATEST.format(where='day(ts) < 15 and user_id % 3 > 0')} t
         full outer join {_LATEST.format(where='day(ts) >= 15 and user_id % 5 > 0')} s on t.user_id = s.user_id""",
     "post_process_script": """select cast(event_id as varchar) || upper(event_type) as processed,
-        case when user_id % 4 < 2 then 'first' else 'second' end as batch_id from events where event_type = 'click'""",
-    "merge_script": f"""with t as {_LATEST.format(where="event_type = 'view' and ts < timestamp '2024-01-15'")},
-        s as {_LATEST.format(where="event_type = 'view' and ts >= timestamp '2024-01-15'")}
+        case when user_id % 4 < 2 then 'first' else 'second' end as batch_id from events""",
+    "merge_script": f"""with t as {_LATEST.format(where="ts < timestamp '2024-01-15'")},
+        s as {_LATEST.format(where="ts >= timestamp '2024-01-15'")}
         select coalesce(t.user_id, s.user_id) as user_id, coalesce(s.event_id, t.event_id) as event_id,
         case when t.user_id is not null then t.event_type else s.event_type end as event_type,
         case when s.user_id is not null then s.value else t.value end as value
         from t full outer join s on t.user_id = s.user_id""",
     "rolled_back_batch": """select case when user_id % 4 = 0 then 'landed' else 'batch_failed' end as outcome, event_id
-        from events where event_type = 'click'""",
-    "exactly_once_stream": "select event_id, user_id, value from events where event_type = 'click'",
+        from events""",
+    # the tables of both types are merged in turn, "odd" first, and "odd" once more
+    "scripts_share_target": """select case when event_id % 2 = 0 then 'even' else 'odd' end as origin, event_id,
+            cast(null as bigint) as user_id from events
+        union all select 'newest', coalesce(max(event_id) filter (event_id % 2 = 1), max(event_id)), user_id from events group by user_id""",
+    "exactly_once_stream": "select event_id, user_id, value from events",
     "at_least_once_stream": """select count(*) as ids, 2 as fewest, 2 * count(*) as records
-        from events where event_type = 'click'""",
-    "ingest_events": _EVENT_ROWS + " where event_type = 'click'",
+        from events""",
+    "ingest_events": _EVENT_ROWS,
     "ingest_three_tables": """select 'clicks' as "table", 'landed' as outcome, event_id, cast(user_id as varchar) as user_id
             from events where event_type = 'click'
         union all select 'page_views', 'landed', event_id, cast(user_id as varchar) from events where event_type = 'view'

@@ -239,12 +239,12 @@ def test_metrics(spark):
 def test_csv_sources(spark, tmp_path):
     path = tmp_path / "games.csv"
     path.write_text('id,name,note\n1,a,\n2,"b, ""x""\ny",NULL\n3, c\n', encoding="utf-8")
-    log = tg.csv_to_topic_log(spark, str(path), "games", batch_size=2)
+    log = tg.csv_to_topic_log(spark, str(path), "games", batch_size=2, multi_line=True)
     got = [(r.offset, r.batch_no, json.loads(bytes(r.value))) for r in log.orderBy("offset").collect()]
     assert got[0] == (0, 0, {"id": "1", "name": "a", "note": None})
     assert got[1] == (1, 0, {"id": "2", "name": 'b, "x"\ny', "note": "NULL"})
     assert got[2][0:2] == (2, 1)
-    replayed = [json.loads(bytes(r.value)) for r in tg.replay_csv(spark, str(path), "games", 7).orderBy("offset").collect()]
+    replayed = [json.loads(bytes(r.value)) for r in tg.replay_csv(spark, str(path), "games", 7, multi_line=True).orderBy("offset").collect()]
     assert [r["id"] for r in replayed] == ["1", "2", "3", "1", "2", "3", "1"]
     assert replayed[1]["note"] is None and replayed[2] == {"id": "3", "name": "c", "note": None}
 
@@ -297,3 +297,22 @@ def test_read_csv_header_only(spark, tmp_path):
     path.write_text("a,b\n")
     assert read_csv(spark, str(path)).count() == 0
     assert tg.replay_csv(spark, str(path), "t", 5).count() == 0
+
+
+def test_csv_rows_are_numbered_in_file_order(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id\n" + "\n".join(str(i) for i in range(3)) + "\n")
+    (tmp_path / "b.csv").write_text("id\n" + "\n".join(str(i) for i in range(3, 4000)) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        log = tg.csv_to_topic_log(spark, str(tmp_path), "t")
+        assert log.rdd.getNumPartitions() > 1
+        assert [json.loads(bytes(r.value))["id"] for r in log.orderBy("offset").collect()] == [str(i) for i in range(4000)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_table_names_are_quoted_part_by_part():
+    from tidegate.operators.sinks import table_name
+
+    assert table_name("my db.odd-name") == "`my db`.`odd-name`" and table_name("`a.b`.c") == "`a.b`.`c`"

@@ -165,3 +165,105 @@ def test_empty_batch_is_a_no_op(spark, tmp_path):
     store = TableStore(spark, str(tmp_path / "store"))
     ingest_batch(spark.createDataFrame([], ENVELOPE), "e", config(delivery="exactly_once"), store)
     assert store.read(SPEC).count() == 0
+
+
+TWO = {name: TableSpec.from_ddl(name, "id BIGINT, v BIGINT") for name in ("a", "b")}
+TARGET = TableSpec.from_ddl("t", "id BIGINT NOT NULL, v BIGINT")
+
+
+def two_tables(envelope, n=4):
+    return envelope([(t, 0, i, json.dumps({"id": i + at, "v": i})) for t, at in (("a", 0), ("b", 100)) for i in range(n)])
+
+
+def scripted(*scripts, **kwargs):
+    return IngestConfig(TWO, {"t": TARGET}, post_process=PostProcess(scripts), **kwargs)
+
+
+def test_scripts_that_append_to_one_table_keep_each_other(spark, envelope, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    ingest_batch(two_tables(envelope), "e", scripted(*(Script(t, sql="SELECT id, v FROM batch", target="t") for t in TWO)), store)
+    assert sorted(r.id for r in store.read(TARGET).collect()) == [0, 1, 2, 3, 100, 101, 102, 103]
+
+
+def test_scripts_that_merge_into_one_table_go_on_from_each_other(spark, envelope, tmp_path):
+    store = TableStore(spark, str(tmp_path), merge_buckets=2)
+    ingest_batch(two_tables(envelope), "e", scripted(*(Script(t, sql="SELECT id, v FROM batch", target="t", keys=("id",)) for t in TWO)), store)
+    assert sorted(r.id for r in store.read(TARGET).collect()) == [0, 1, 2, 3, 100, 101, 102, 103]
+
+
+def test_merge_hashes_the_targets_type_into_the_recorded_buckets(spark, envelope, tmp_path):
+    narrow = Script("a", sql="SELECT cast(id AS int) AS id, v FROM batch", target="t", keys=("id",))
+    ingest_batch(two_tables(envelope, 20), "e1", scripted(narrow), TableStore(spark, str(tmp_path), merge_buckets=4))
+    wide = Script("a", sql="SELECT id, v + 1 AS v FROM batch WHERE id < 4", target="t", keys=("id",))
+    store = TableStore(spark, str(tmp_path), merge_buckets=8)
+    ingest_batch(two_tables(envelope, 20), "e2", scripted(wide), store)
+    assert sorted((r.id, r.v) for r in store.read(TARGET).collect()) == [(i, i + (i < 4)) for i in range(20)]
+
+
+def test_repeated_keys_fail_the_merge(spark, envelope, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    twice = Script("a", sql="SELECT id % 2 AS id, v FROM batch", target="t", keys=("id",))
+    with pytest.raises(BatchFailed, match="Several rows"):
+        ingest_batch(two_tables(envelope), "e", scripted(twice), store)
+    assert store.read(TARGET).count() == 0
+
+
+@pytest.mark.parametrize("sql", ["SELECT id, v, 1 AS w FROM batch", "SELECT v FROM batch", "SELECT cast(null AS bigint) AS id, v FROM batch", "SELECT 'x' AS id, v FROM batch"])
+def test_script_rows_must_fit_the_target(spark, envelope, tmp_path, sql):
+    store = TableStore(spark, str(tmp_path))
+    with pytest.raises(BatchFailed):
+        ingest_batch(two_tables(envelope), "e", scripted(Script("a", sql=sql, target="t")), store)
+    assert store.read(TARGET).count() == 0 and not store.committed("e")
+
+
+def test_a_table_is_appended_to_or_merged_into():
+    append, merge = (Script(t, sql="SELECT id, v FROM batch", target="t", keys=k) for t, k in (("a", ()), ("b", ("id",))))
+    with pytest.raises(ValueError, match="not both: t"):
+        scripted(append, merge)
+    with pytest.raises(ValueError, match="not both: b"):
+        scripted(Script("a", sql="SELECT id, v FROM batch", target="b", keys=("id",)))
+    with pytest.raises(ValueError, match="different keys"):
+        scripted(merge, Script("a", sql="SELECT id, v FROM batch", target="t", keys=("v",)))
+
+
+def test_a_crash_during_a_commit_does_not_block_the_store(spark, envelope, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    ingest_batch(two_tables(envelope), "e0", scripted(delivery="exactly_once"), store)
+    (tmp_path / "commits" / "seq=1" / "_temporary").mkdir(parents=True)
+    (tmp_path / "_commits" / "left").mkdir(parents=True)
+    store = TableStore(spark, str(tmp_path))
+    for _ in range(2):
+        ingest_batch(two_tables(envelope, 6), "e1", scripted(delivery="exactly_once"), store)
+    assert store.read(TWO["a"]).count() == 6 and store.committed("e1")
+
+
+def test_two_writers_cannot_publish_the_same_number(spark, envelope, tmp_path):
+    one, two = TableStore(spark, str(tmp_path)), TableStore(spark, str(tmp_path))
+    assert one.log() == two.log() == []
+    one.commit("x", [])
+    with pytest.raises(FileExistsError):
+        two.commit("y", [])
+
+
+def test_a_failure_of_the_cluster_stops_the_query(spark, envelope, tmp_path):
+    def lost(batch, batch_id):
+        raise ConnectionError("storage is away")
+
+    store = TableStore(spark, str(tmp_path))
+    cfg = scripted(Script("a", run=lost, target="t"), tolerance="all", delivery="exactly_once")
+    with pytest.raises(ConnectionError):
+        ingest_batch(two_tables(envelope), "e", cfg, store)
+    assert not store.committed("e") and not store.has_ledger() and store.read_dead_letters("a").count() == 0
+    ingest_batch(two_tables(envelope), "e", scripted(delivery="exactly_once"), store)
+    assert store.read(TWO["a"]).count() == 4
+
+
+def test_first_batch_is_not_shuffled(spark, envelope, tmp_path, monkeypatch):
+    plans = []
+    stage = TableStore.stage
+    monkeypatch.setattr(TableStore, "stage", lambda self, epoch, rows, spec: (plans.append(rows._jdf.queryExecution().executedPlan().toString()), stage(self, epoch, rows, spec))[1])
+    store, cfg = TableStore(spark, str(tmp_path)), IngestConfig({"a": TWO["a"]}, delivery="exactly_once")
+    ingest_batch(two_tables(envelope), "e0", cfg, store)
+    ingest_batch(two_tables(envelope, 8), "e1", cfg, store)
+    assert "Join" not in plans[0] and "Exchange hashpartitioning" not in "".join(plans)
+    assert store.read(TWO["a"]).count() == 8

@@ -83,7 +83,7 @@ def whole_batch_dead(batch: DataFrame, table: str, exception: Exception) -> Data
         F.lit(None).cast("string").alias("column"),
         F.lit(None).cast("string").alias("declared_type"),
         F.lit("batch_failed").alias("reason"),
-        F.lit(f"{type(exception).__name__}: {exception}"[:2000]).alias("message"),
+        F.lit(f"{type(exception).__name__}: {exception}").alias("message"),
     )
 
 

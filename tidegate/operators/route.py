@@ -44,6 +44,12 @@ def topics_of(table: str, mapping: dict[str, str]) -> Column:
     return F.col("topic").isin(sources)
 
 
+def known_topics(mapping: dict[str, str], tables: list[str]) -> list[str]:
+    """All topics that go to one of the tables."""
+    own = [t for t in tables if t not in mapping]
+    return [*(topic for topic, table in mapping.items() if table in tables), *own]
+
+
 def filter_topics(df: DataFrame, subscribed: list[str]) -> DataFrame:
     """Only records of topics this ingest is subscribed to."""
     return df.where(F.col("topic").isin(list(subscribed)))

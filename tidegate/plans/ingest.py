@@ -107,6 +107,12 @@ class IngestConfig:
         ):
             if value not in allowed:
                 raise ValueError(f"Unknown {name} '{value}', expected one of {', '.join(allowed)}")
+        merged = {s.target: s.keys for s in self.post_process.scripts if s.target and s.keys}
+        appended = {*self.tables, *(s.target for s in self.post_process.scripts if s.target and not s.keys)}
+        if both := sorted(merged.keys() & appended):
+            raise ValueError(f"Tables are appended to or merged into, not both: {', '.join(both)}")
+        if odd := sorted({s.target for s in self.post_process.scripts if s.target in merged and s.keys and s.keys != merged[s.target]}):
+            raise ValueError(f"Scripts merge into one table on different keys: {', '.join(odd)}")
 
 
 def tag_batch(batch_id: str) -> dict[str, Column]:

@@ -6,7 +6,15 @@ import re
 from uuid import uuid4
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
+from pyspark.errors import (
+    AnalysisException,
+    ArithmeticException,
+    ArrayIndexOutOfBoundsException,
+    DateTimeException,
+    NumberFormatException,
+    ParseException,
+    SparkRuntimeException,
+)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -19,6 +27,20 @@ from ..session import configure
 from .store import Change, TableStore
 
 
+#: What a script's own text and values can cause. Anything else, such as lost executors, stops the query, and the epoch runs again.
+SCRIPT_ERRORS = (
+    AnalysisException,
+    ParseException,
+    ArithmeticException,
+    ArrayIndexOutOfBoundsException,
+    DateTimeException,
+    NumberFormatException,
+    SparkRuntimeException,
+    BatchFailed,
+    SchemaError,
+)
+
+
 class PostProcessFailed(BatchFailed):
     """The post-processing of a batch failed, so the batch is not published."""
 
@@ -33,9 +55,11 @@ def ingest_batch(batch: DataFrame, epoch: str, config: IngestConfig, store: Tabl
     if exactly_once:
         if store.committed(epoch):
             return
-        batch = offsets.drop_processed(batch, store.ledger())
+        if store.has_ledger():
+            batch = offsets.drop_processed(batch, store.ledger())
     if config.topics is not None:
         batch = route.filter_topics(batch, list(config.topics))
+    batch = route.filter_topics(batch, route.known_topics(config.mapping, list(config.tables)))
     # Several targets read the same batch; keep it, so that the source is read and filtered once.
     shared = len(config.tables) > 1
     if shared:
@@ -43,7 +67,7 @@ def ingest_batch(batch: DataFrame, epoch: str, config: IngestConfig, store: Tabl
     try:
         changes: list[Change] = []
         for table, records in route.split_by_table(batch, config.mapping, list(config.tables)).items():
-            changes += _ingest_table(records, epoch, table, config, store)
+            changes += _ingest_table(records, epoch, table, config, store, changes)
         if exactly_once:
             ledger = store.stage_ledger(epoch, changes)
             changes += [ledger] if ledger else []
@@ -53,7 +77,9 @@ def ingest_batch(batch: DataFrame, epoch: str, config: IngestConfig, store: Tabl
             batch.unpersist()
 
 
-def _ingest_table(records: DataFrame, epoch: str, table: str, config: IngestConfig, store: TableStore) -> list[Change]:
+def _ingest_table(
+    records: DataFrame, epoch: str, table: str, config: IngestConfig, store: TableStore, staged: list[Change]
+) -> list[Change]:
     spec = config.tables[table]
     try:
         rows = plan_rows(
@@ -72,11 +98,11 @@ def _ingest_table(records: DataFrame, epoch: str, table: str, config: IngestConf
                 enforce(_staged_dead(store, change, table), config.tolerance)
         script = config.post_process.script_for(table)
         if script is not None and any(c.kind == "landed" for c in changes):
-            changes += run_script(script, epoch, changes, config, store)
+            changes += run_script(script, epoch, changes, config, store, staged)
         return changes
     except (BatchFailed, SchemaError, AnalysisException) as e:
         # Failures of the cluster are not caught: the query stops and the epoch runs again.
-        if config.tolerance == "none":
+        if config.tolerance == "none" or not _of_the_batch(e):
             raise
         return store.stage_dead(epoch, whole_batch_dead(records, table, e), table)
 
@@ -87,8 +113,13 @@ def _staged_dead(store: TableStore, change: Change, table: str) -> DataFrame:
     return staged.parquet(change.path).select(*[F.col(f"_{n}").alias(n) for n in names], F.lit(table).alias("table"))
 
 
+def _of_the_batch(e: Exception) -> bool:
+    """False where files are gone or cannot be read: that is the storage's failure, not the batch's."""
+    return not (isinstance(e, AnalysisException) and (e.getCondition() or "").startswith(("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")))
+
+
 def run_script(
-    script: Script, batch_id: str, changes: list[Change], config: IngestConfig, store: TableStore
+    script: Script, batch_id: str, changes: list[Change], config: IngestConfig, store: TableStore, staged: list[Change] = ()
 ) -> list[Change]:
     """Run a table's post-processing over its staged batch and stage the result.
 
@@ -122,9 +153,11 @@ def run_script(
         target = known.get(script.target) or TableSpec.from_spark(script.target, result.schema)
         if script.keys:
             update = list(script.update) if script.update is not None else None
-            return store.stage_merge(batch_id, result, target, list(script.keys), update)
-        return store.stage_append(batch_id, result, script.target)
-    except Exception as e:
+            return store.stage_merge(batch_id, result, target, list(script.keys), update, script.table, [*staged, *changes])
+        return store.stage_append(batch_id, result, target, script.table)
+    except SCRIPT_ERRORS as e:
+        if not _of_the_batch(e):
+            raise
         raise PostProcessFailed(f"Post-processing of {script.table} failed: {e}") from e
     finally:
         for view in views:

@@ -5,28 +5,35 @@ seen until one commit names them all. Running an epoch again replaces what it wr
 committed. One writer per store, as with a streaming checkpoint.
 
     data/<table>/<epoch>/outcome=landed|dead/...    one write, one pass over the batch
-    merged/<table>/<epoch>/bucket=<n>/...           rewritten buckets of a keyed table
+    data/<table>/<epoch>-by-<producer>/...          what another table's script appends
+    merged/<table>/<epoch>-by-<producer>/bucket=<n> rewritten buckets of a keyed table
     ledger/<epoch>/...                              last offset per topic partition
-    commits/seq=<n>/...                             what an epoch published
+    commits/seq=<n>/...                             what an epoch published, renamed into place in one step
 """
 
 from __future__ import annotations
 
+import re
 from contextlib import contextmanager
 from dataclasses import dataclass
+from uuid import uuid4
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.names import col
-from ..functions.types import TableSpec
+from ..functions.types import SchemaError, TableSpec
 from ..operators import merge, offsets
 from ..operators.decode import ERROR, SRC
+from ..operators.quarantine import BatchFailed, describe
 
-COMMIT_SCHEMA = "epoch string, kind string, name string, path string, buckets array<int>, records bigint"
-_LOG_FIELDS = ("epoch", "kind", "name", "path", "buckets", "records", "seq")
+COMMIT_SCHEMA = (
+    "epoch string, kind string, name string, path string, buckets array<int>, records bigint, bucket_count int, keys array<string>"
+)
+_LOG_FIELDS = ("epoch", "kind", "name", "path", "buckets", "records", "bucket_count", "keys", "seq")
 DEAD_FIELDS = ("column", "declared_type", "reason")
 
 
@@ -51,6 +58,8 @@ class Change:
     path: str
     buckets: tuple[int, ...] | None = None
     records: int | None = None
+    bucket_count: int | None = None
+    keys: tuple[str, ...] | None = None
 
 
 class TableStore:
@@ -79,15 +88,50 @@ class TableStore:
         return any(r["epoch"] == epoch for r in self.log())
 
     def commit(self, epoch: str, changes: list[Change]) -> None:
-        """Publish. The directory for the next sequence number must not exist, so a second writer fails here."""
-        seq = self.log()[-1]["seq"] + 1 if self.log() else 0
-        rows = [(epoch, c.kind, c.name, c.path, c.buckets and list(c.buckets), c.records) for c in changes]
+        """Publish: the commit is written aside and renamed to the next free number in one step.
+
+        A crash before the rename leaves nothing that is read. The rename fails where the number is taken, so of two
+        writers that saw the same log the second stops here.
+        """
+        seq = self._next_number()
+        rows = [(epoch, c.kind, c.name, c.path, c.buckets and list(c.buckets), c.records, c.bucket_count, c.keys and list(c.keys)) for c in changes]
         if not rows:
-            rows = [(epoch, "empty", "", "", None, 0)]
+            rows = [(epoch, "empty", "", "", None, 0, None, None)]
         frame = self.spark.createDataFrame(rows, COMMIT_SCHEMA).coalesce(1)
-        frame.write.mode("errorifexists").json(f"{self.root}/commits/seq={seq}")
+        aside = f"{self.root}/_commits/{uuid4().hex}"
+        frame.write.json(aside)
+        self._rename(aside, f"{self.root}/commits/seq={seq}")
         self._log = [*self.log(), *[Row(*_LOG_FIELDS)(*row, seq) for row in rows]]
 
+    def _path(self, path: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
+
+    def _next_number(self) -> int:
+        """One more than the last number in use. A directory without a readable commit counts as used."""
+        last = self.log()[-1]["seq"] if self.log() else -1
+        folder = self._path(f"{self.root}/commits")
+        files = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if files.exists(folder):
+            known = {r["seq"] for r in self.log()}
+            named = [re.fullmatch(r"seq=(\d+)", s.getPath().getName()) for s in files.listStatus(folder)]
+            for number in sorted(int(m[1]) for m in named if m):
+                unfinished = number not in known and not files.exists(self._path(f"{self.root}/commits/seq={number}/_SUCCESS"))
+                if number > last and unfinished:
+                    last = number
+        return last + 1
+
+    def _rename(self, source: str, target: str) -> None:
+        jvm = self.spark._jvm
+        conf = self.spark._jsc.hadoopConfiguration()
+        parent = self._path(target).getParent()
+        parent.getFileSystem(conf).mkdirs(parent)
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._path(self.root).toUri(), conf)
+        options = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+        try:
+            context.rename(self._path(source), self._path(target), options)
+        except Py4JJavaError as e:
+            raise FileExistsError(f"{target} has been published by another writer") from e
+
     def using(self, spark: SparkSession) -> "TableStore":
         """The same store through another session (a micro-batch has its own); the log stays cached."""
         other = TableStore(spark, self.root, self.merge_buckets)
@@ -130,6 +174,9 @@ class TableStore:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*paths)
 
+    def has_ledger(self) -> bool:
+        return any(r["kind"] == "ledger" for r in self.log())
+
     def ledger(self) -> DataFrame:
         """Last offset per topic partition. Read from files, so its size is known to the join that uses it."""
         paths = [r["path"] for r in self.log() if r["kind"] == "ledger"]
@@ -147,13 +194,12 @@ class TableStore:
         path = f"{self.root}/data/{spec.name}/{epoch}"
         is_dead = F.col(ERROR).isNotNull()
         src, err = (lambda f: F.col(f"{SRC}.{f}")), (lambda f: F.col(f"{ERROR}.{f}"))
-        message = F.concat_ws(" ", F.lit("Cannot convert"), err("column"), F.lit("due to"), err("reason"))
         out = rows.select(
             F.when(is_dead, "dead").otherwise("landed").alias("outcome"),
             *[src(f).alias(f"_{f}") for f in ("topic", "partition", "offset")],
             *[F.when(is_dead, src(f)).alias(f"_{f}") for f in ("timestamp", "key", "value")],
             *[err(f).alias(f"_{f}") for f in DEAD_FIELDS],
-            F.when(is_dead, message).alias("_message"),
+            F.when(is_dead, describe()).alias("_message"),
             *[col(n) for n in spec.names],
         )
         return self._write_outcomes(out, path, spec.name)
@@ -194,30 +240,60 @@ class TableStore:
         after.coalesce(1).write.mode("overwrite").parquet(path)
         return Change("ledger", "", path)
 
-    def stage_append(self, epoch: str, rows: DataFrame, table: str) -> list[Change]:
-        path = f"{self.root}/data/{table}/{epoch}"
-        rows.write.mode("overwrite").parquet(path)
-        return [Change("landed", table, path)]
+    def _conform(self, rows: DataFrame, spec: TableSpec, source: bool = False) -> DataFrame:
+        """Rows in the declared columns and types of a table. A value that does not fit fails the batch when it is written.
+
+        The source of a merge may have further columns, as in SQL; they take no part in it.
+        """
+        unknown = [c for c in rows.columns if c not in spec.names and not source]
+        if unknown:
+            raise SchemaError(f"{spec.name} has no columns {', '.join(unknown)}")
+        kinds = {f.name: f.dataType for f in spec.schema.fields}
+        required = [f.name for f in spec.schema.fields if f.metadata.get("required")]
+        absent = [c for c in required if c not in rows.columns]
+        if absent:
+            raise SchemaError(f"{spec.name} needs values for {', '.join(absent)}")
+        kept = [n for n in spec.names if n in rows.columns]
+        cast = rows.select(*[col(n).cast(kinds[n]).alias(n) for n in kept])
+        for n in required:
+            cast = cast.withColumn(n, F.coalesce(col(n), F.raise_error(F.lit(f"{spec.name}.{n} must not be NULL")).cast(kinds[n])))
+        return cast
+
+    def stage_append(self, epoch: str, rows: DataFrame, spec: TableSpec, producer: str) -> list[Change]:
+        path = f"{self.root}/data/{spec.name}/{epoch}-by-{producer}"
+        self._conform(rows, spec).write.mode("overwrite").parquet(path)
+        return [Change("landed", spec.name, path)]
 
     def stage_merge(
-        self, epoch: str, source: DataFrame, target: TableSpec, keys: list[str], update: list[str] | None
+        self, epoch: str, source: DataFrame, target: TableSpec, keys: list[str], update: list[str] | None, producer: str, staged: list[Change]
     ) -> list[Change]:
-        """Merge ``source`` (one row per key) into a keyed table, rewriting only the buckets its keys fall in.
+        """Merge ``source`` (one row per key, else the batch fails) into a keyed table, rewriting only the buckets its keys fall in.
 
-        Keys are hashed to a fixed number of buckets; choose ``merge_buckets`` so that one is a comfortable file.
+        Keys are hashed, as the target's types, to the number of buckets recorded with the table (``merge_buckets`` for a
+        new one). ``staged`` are the changes of this epoch so far: a second merge into a table goes on from the first.
         """
-        bucket = F.pmod(F.xxhash64(*[col(k) for k in keys]), F.lit(self.merge_buckets)).cast("int").alias("bucket")
-        work = f"{self.root}/work/{target.name}/{epoch}"
-        columns = [col(n) for n in target.names if n in source.columns]
-        source.select(*columns, bucket).write.mode("overwrite").parquet(work)
+        before = [c for c in [*self.log_changes(), *staged] if c.kind == "merged" and c.name == target.name]
+        recorded = before[-1] if before else None
+        if recorded is not None and recorded.keys and list(recorded.keys) != list(keys):
+            raise SchemaError(f"{target.name} is keyed by {', '.join(recorded.keys)}, not by {', '.join(keys)}")
+        count = recorded.bucket_count if recorded is not None and recorded.bucket_count else self.merge_buckets
+        bucket = F.pmod(F.xxhash64(*[col(k) for k in keys]), F.lit(count)).cast("int").alias("bucket")
+        work = f"{self.root}/work/{target.name}/{epoch}-by-{producer}"
+        self._conform(source, target, source=True).withColumn("bucket", bucket).write.mode("overwrite").parquet(work)
         incoming = self.spark.read.parquet(work)
         touched = sorted(r[0] for r in incoming.select("bucket").distinct().collect())
         if not touched:
             return []
-        newest = self._bucket_paths(target.name)
+        repeated = incoming.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").first()
+        if repeated is not None:
+            raise BatchFailed(f"Several rows to merge into {target.name} for the key {[repeated[k] for k in keys]}")
+        newest = {b: f"{c.path}/bucket={b}" for c in before for b in c.buckets}
         current = self._load([newest[b] for b in touched if b in newest], target.schema)
         merged = merge.upsert(current, incoming.drop("bucket"), keys, update)
-        path = f"{self.root}/merged/{target.name}/{epoch}"
+        path = f"{self.root}/merged/{target.name}/{epoch}-by-{producer}"
         rebalanced = merged.withColumn("bucket", bucket).hint("rebalance", "bucket")
         rebalanced.write.mode("overwrite").partitionBy("bucket").parquet(path)
-        return [Change("merged", target.name, path, tuple(touched))]
+        return [Change("merged", target.name, path, tuple(touched), None, count, tuple(keys))]
+
+    def log_changes(self) -> list[Change]:
+        return [Change(r["kind"], r["name"], r["path"], tuple(r["buckets"] or ()), r["records"], r["bucket_count"], tuple(r["keys"] or ())) for r in self.log()]

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import numpy as np
 
-#: Alphabets up to this size are induced bucket by bucket; the ranks of a deeper recursion beyond it are sorted by doubling.
-_BUCKETED = 4096
+#: Texts are induced bucket by bucket where they have no more letters than this, or many suffixes for each; other texts,
+#: as deeper recursions tend to be, are sorted by rank doubling.
+_LETTERS, _PER_BUCKET = 300, 256
 
 
 def _classify(t: np.ndarray) -> np.ndarray:
@@ -118,7 +119,7 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
     if n <= 2:
         return np.arange(n - 1, -1, -1)
     size = int(t.max()) + 1
-    if size > max(_BUCKETED, 300):
+    if size > max(_LETTERS, min(n // _PER_BUCKET, 2**16)):
         return _doubling(t)
     t = t.astype(np.uint16, copy=False)  # the smaller the text, the more of it is in the processor's cache
     s_type = _classify(t)

@@ -54,6 +54,7 @@ if __name__ == "__main__":
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.warehouse.dir", "/tmp/tidegate-oracle-warehouse")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -10,8 +10,8 @@ from ..functions.types import SchemaError, TableSpec
 
 def missing_tables(spark: SparkSession, names: list[str], database: str | None = None) -> list[str]:
     """Wanted tables that the catalog lacks, in the order given."""
-    existing = {t.name for t in spark.catalog.listTables(database)}
-    return [n for n in dict.fromkeys(names) if n not in existing and n.lower() not in existing]
+    prefix = f"{quote(database)}." if database else ""
+    return [n for n in dict.fromkeys(names) if not spark.catalog.tableExists(prefix + quote(n))]
 
 
 def discover(spark: SparkSession, names: list[str], database: str | None = None) -> dict[str, TableSpec]:

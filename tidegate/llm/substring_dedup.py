@@ -5,7 +5,7 @@ neighbouring windows mostly stay together as one stretch of text. Only stretches
 sent. A shard joins its stretches to one text, sorts the suffixes by induced sorting, and takes permuted common prefixes;
 suffixes that share 50 bytes form a class, and all but those of its smallest id are marked.
 
-Documents travel in chunks of about two megabytes, hashes in buckets per chunk with repeats combined, stretches with
+Documents travel in chunks of about a megabyte, hashes in buckets per chunk with repeats combined, stretches with
 equal ones of a chunk combined; identical documents are settled by their digests beforehand. So a text or passage with
 many copies sends one entry per chunk. Buckets and shards grow in number with the bytes, not in size.
 """
@@ -27,7 +27,7 @@ from .suffix_array import common_prefixes, suffix_array
 WINDOW = 50
 #: Strings whose hashes deal the windows.
 ANCHOR = 20
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 1_000_000
 #: Bytes of text per bucket of hashes, and per shard of stretches.
 BUCKET_BYTES, SHARD_BYTES = 32_000_000, 4_000_000
 LEAST_PARTS = 64

@@ -13,7 +13,7 @@ from unicodedata import normalize
 import numpy as np
 
 #: Words, and as many stems, that a worker remembers before it starts afresh: about 200 bytes each.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 _TAIL = re.compile(rb"(.*[A-Za-z0-9\x80-\xff])([!-/:-@\[-`{-~]+)", re.DOTALL)
 _LATIN_END = "ɐ"
 

@@ -89,14 +89,25 @@ def within(a: str, b: str, edits: int = EDITS) -> Column:
 
 
 def _parity() -> Column:
-    """64 bits of a line: the parity of how often each class of characters occurs. An edit turns two of them at most."""
-    return F.expr("aggregate(split(line, ''), 0L, (x, c) -> x ^ shiftleft(1L, pmod(ascii(c), 64)))")
+    """Twice 64 bits of a line: the parities of how often each class of characters, and of neighbours, occurs.
+
+    An edit turns two of the first and four of the second at most.
+    """
+    return F.expr("""
+        aggregate(split(line, ''), struct(0L as one, 0L as two, '' as before), (s, c) -> struct(
+            s.one ^ shiftleft(1L, pmod(ascii(c), 64)) as one,
+            s.two ^ shiftleft(1L, cast(pmod(xxhash64(s.before, c), 64) as int)) as two,
+            c as before), s -> struct(s.one as one, s.two as two))""")
+
+
+def _turned(part: str) -> Column:
+    return F.bit_count(F.col(f"parity.{part}").bitwiseXOR(F.col(f"other_parity.{part}")))
 
 
 def _pairs(members: DataFrame) -> DataFrame:
     """Pairs of different lines with a segment key in common whose lengths and parities allow for the edits."""
     left, right = members.select("h", "k", "size", "parity"), members.select("h", *(F.col(c).alias(f"other_{c}") for c in ("k", "size", "parity")))
-    near = (F.abs(F.col("size") - F.col("other_size")) <= EDITS) & (F.bit_count(F.col("parity").bitwiseXOR(F.col("other_parity"))) <= 2 * EDITS)
+    near = (F.abs(F.col("size") - F.col("other_size")) <= EDITS) & (_turned("one") <= 2 * EDITS) & (_turned("two") <= 4 * EDITS)
     return left.join(right, (left["h"] == right["h"]) & (F.col("k") < F.col("other_k")) & near).select("k", F.col("other_k").alias("other")).distinct()
 
 

@@ -81,7 +81,8 @@ class Transducer:
                 self.piece_ids[piece] = i
                 self.text[i] = piece
                 self.output[i] = piece.replace(SPACE_SIGN, " ").encode()
-        self.longest = max(map(len, self.piece_ids))
+        #: The machine of pieces: each beginning of a piece, with the piece's id where it is a whole one.
+        self.arcs = {p[:k]: -1 for p in self.piece_ids for k in range(1, len(p))} | self.piece_ids
         inside = {p[k : k + 2] for p in self.piece_ids for k in range(len(p) - 1)}
         self.whole_words = not any(x[1] == SPACE_SIGN != x[0] for x in inside)
         self.inside, self.remembered = inside, remembered
@@ -117,23 +118,24 @@ class Transducer:
 
     def shortest_path(self, text: str) -> list[int]:
         """Ids along the cheapest path of the composition with one stretch."""
-        n, longest, ids, follow = len(text), self.longest, self.piece_ids, self._may_follow
-        cost: list[int | None] = [0] + [None] * n
-        last: list[int] = [-1] * (n + 1)  # the piece before a state; bytes and the start are -1 and may precede all
-        back: list[int] = [0] * (n + 1)
-        for end in range(1, n + 1):
-            best = None
-            for start in range(max(0, end - longest), end):
-                if cost[start] is None:
-                    continue
-                piece = ids.get(text[start:end])
-                if piece is None:
-                    continue
-                if (best is None or cost[start] + 1 < best) and (last[start] < 0 or follow(last[start], piece)):
-                    best, last[end], back[end] = cost[start] + 1, piece, start
-            if best is None and cost[end - 1] is not None and text[end - 1] not in ids:
-                best, last[end], back[end] = cost[end - 1] + len(text[end - 1].encode()), -1, end - 1
-            cost[end] = best
+        n, arcs, follow = len(text), self.arcs, self._may_follow
+        cost = [0] + [n * 8] * n
+        last = [-1] * (n + 1)  # the piece before a state; bytes and the start are -1 and may precede all
+        back = [-1] * (n + 1)
+        for start in range(n):
+            so_far, before = cost[start] + 1, last[start]
+            if start and back[start] < 0:
+                continue
+            for end in range(start + 1, n + 1):
+                piece = arcs.get(text[start:end])
+                if piece is None:  # no piece goes on like this
+                    break
+                if piece >= 0 and so_far < cost[end] and (before < 0 or follow(before, piece)):
+                    cost[end], last[end], back[end] = so_far, piece, start
+            if arcs.get(text[start], -1) < 0:
+                size = len(text[start].encode())
+                if so_far - 1 + size < cost[start + 1]:
+                    cost[start + 1], last[start + 1], back[start + 1] = so_far - 1 + size, -1, start
         path, end = [], n
         while end:
             path.append([last[end]] if last[end] >= 0 else [self.byte_ids[b] for b in text[back[end] : end].encode()])

@@ -31,19 +31,25 @@ PART = 2048
 _LANES = np.uint64(1) << np.arange(64, dtype=np.uint64)
 
 
-def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
-    """The majority bits of the XXH64 of all word shingles; 0 for a text without words."""
+def shingle_hashes(text: bytes, shingle: int, seed: int = SEED) -> list[int]:
+    """The XXH64 of all word shingles; of all words where they are fewer, nothing for a text without words."""
     words = text.lower().split()
     if not words:
-        return 0
+        return []
     joined = b" ".join(words)
     if len(words) <= shingle:
-        hashes = [xxhash.xxh64_intdigest(joined, seed)]
-    else:
-        ends = np.cumsum([len(w) + 1 for w in words]) - 1
-        starts = [0, *(ends[: len(words) - shingle] + 1).tolist()]
-        digest = xxhash.xxh64_intdigest
-        hashes = [digest(joined[s:e], seed) for s, e in zip(starts, ends[shingle - 1 :].tolist(), strict=True)]
+        return [xxhash.xxh64_intdigest(joined, seed)]
+    ends = np.cumsum([len(w) + 1 for w in words]) - 1
+    starts = [0, *(ends[: len(words) - shingle] + 1).tolist()]
+    digest = xxhash.xxh64_intdigest
+    return [digest(joined[s:e], seed) for s, e in zip(starts, ends[shingle - 1 :].tolist(), strict=True)]
+
+
+def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
+    """The majority bits of the XXH64 of all word shingles; 0 for a text without words."""
+    hashes = shingle_hashes(text, shingle, seed)
+    if not hashes:
+        return 0
     bits = np.unpackbits(np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
     ones = bits.sum(axis=0, dtype=np.int64)
     return int.from_bytes(np.packbits(2 * ones > len(hashes), bitorder="little").tobytes(), "little")
@@ -203,9 +209,14 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     prints = stage(fingerprints(docs, id_col, text_col), "simhash-prints")
     distinct = stage(prints.groupBy("fp").agg(F.min("id").alias("first")), "simhash-distinct")
-    label = components(stage(links(distinct, radius), "simhash-links"))
+    return label_rows(prints, distinct, stage(links(distinct, radius), "simhash-links"), id_col, "simhash")
+
+
+def label_rows(prints: DataFrame, distinct: DataFrame, found: DataFrame, id_col: str, name: str) -> DataFrame:
+    """Each row of ``prints`` with the smallest ``first`` of its fingerprint's component under the links found."""
+    label = components(found)
     named = distinct.join(label, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("label", "fp").alias("label"))
-    named = stage(named, "simhash-labels")
+    named = stage(named, f"{name}-labels")
     smallest = named.groupBy("label").agg(F.min("first").alias("component_id"))
     by_print = named.select("fp", "label").join(smallest, "label").select("fp", "component_id")
     return prints.join(by_print, "fp").select(

@@ -26,10 +26,9 @@ STEPS = 6
 #: Sources with fewer rows of a language are pooled into one stratum of that language; where the pool has fewer rows too,
 #: there is no estimate and its texts meet the base rules only.
 LEAST_ROWS = 50
-#: Squared distance beyond which a text is rejected: five normal variables exceed it once in a million.
-CUTOFF = 35.9
-#: Least standard deviation of each transformed statistic: below it a difference is not worth rejecting for.
-FLOOR = (0.5, 0.1, 0.4, 1.0, 1.0)
+#: Least standard deviation of each transformed statistic: a smaller one, as of a statistic that most texts have at zero, is
+#: taken for this, so that the covariance has an inverse; larger ones stay as they are.
+FLOOR = (0.03, 0.03, 0.03, 0.03, 0.03)
 _DIM, _UNIT = 5, 1024
 _X = [f"x{i}" for i in range(_DIM)]
 _LOW = [(i, j) for i in range(_DIM) for j in range(i + 1)]
@@ -52,6 +51,11 @@ def _chi2_quantile(p: float, k: int) -> float:
     return high
 
 
+#: Share of the squared distances of five normal variables that is kept, and the distance beyond which a text is rejected.
+QUANTILE = 1 - 1e-6
+CUTOFF = _chi2_quantile(QUANTILE, _DIM)
+
+
 def _consistency(share: float) -> float:
     """What a covariance of the nearest ``share`` of normal rows is to be multiplied by."""
     return share / _chi2_cdf(_chi2_quantile(share, _DIM), _DIM + 2)
@@ -112,9 +116,8 @@ def _moments(per: DataFrame, keys: list[str]) -> DataFrame:
     """Means and Cholesky factors from counts ``n``, sums ``s*`` and sums of products ``q*``."""
     total = per.groupBy(*keys).agg(F.sum("n").alias("n"), *(F.sum(f"s{i}").alias(f"s{i}") for i in range(_DIM)), *(F.sum(f"q{i}{j}").alias(f"q{i}{j}") for i, j in _LOW))
     out = total.select(*keys, "n", *(F.expr(f"s{i} / cast(n as double) / {_UNIT}D").alias(f"m{i}") for i in range(_DIM)), *(F.col(f"q{i}{j}") for i, j in _LOW))
-    covariance = {
-        (i, j): f"q{i}{j} / cast(n as double) / {_UNIT * _UNIT}D - m{i} * m{j}" + (f" + {FLOOR[i] ** 2}D" if i == j else "") for i, j in _LOW
-    }
+    covariance = {(i, j): f"q{i}{j} / cast(n as double) / {_UNIT * _UNIT}D - m{i} * m{j}" for i, j in _LOW}
+    covariance |= {(i, i): f"greatest({covariance[i, i]}, {FLOOR[i] ** 2}D)" for i in range(_DIM)}
     for j in range(_DIM):
         inner = "".join(f" - l{j}{k} * l{j}{k}" for k in range(j))
         out = out.withColumn(f"l{j}{j}", F.expr(f"sqrt(greatest({covariance[j, j]}{inner}, {FLOOR[j] ** 2 / 4}D))"))

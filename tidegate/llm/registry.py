@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .alignment import alignment
 from .common import table, text_of
 from .exact_dedup import exact_dedup
 from .html import extract
@@ -15,6 +16,7 @@ from .line_dedup import line_dedup
 from .outliers import quality_rules
 from .packing import pack
 from .quality import classify
+from .search import search
 from .sharding import shard
 from .simhash import near_dedup
 from .substring_dedup import substring_dedup
@@ -66,6 +68,14 @@ def op10_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_removed", "n_near", "n_links", digest.alias("kept_sha256"))
 
 
+def op11_ranked_search(spark: SparkSession, sf: str) -> DataFrame:
+    return search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    return alignment(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_simhash": op2_simhash,
@@ -77,6 +87,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_line_dedup": op10_line_dedup,
+    "op11_ranked_search": op11_ranked_search,
+    "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }
 
 ORACLES = {
@@ -87,4 +99,23 @@ ORACLES = {
                doc_id = max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS kept,
                sha256(coalesce(text, '')) AS text_sha256
         FROM documents""",
+    "op11_ranked_search": r"""
+        WITH words AS (
+            SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM documents),
+        asked AS (
+            SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark),
+        sizes AS (SELECT doc_id, count(*) AS n FROM words GROUP BY 1),
+        corpus AS (SELECT count(*) AS docs, cast(sum(n) AS BIGINT) AS total FROM sizes),
+        bags AS (SELECT doc_id, term, count(*) AS tf FROM words WHERE term IN (SELECT term FROM asked) GROUP BY 1, 2),
+        weights AS (SELECT term, cast(floor(1000 * ln((2.0 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM bags, corpus GROUP BY 1),
+        scored AS (
+            SELECT item_id, doc_id, cast(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // total)))) AS BIGINT) AS score
+            FROM (SELECT item_id, term, count(*) AS times FROM asked GROUP BY 1, 2) JOIN bags USING (term) JOIN weights USING (term) JOIN sizes USING (doc_id), corpus
+            GROUP BY 1, 2 HAVING score > 0)
+        SELECT item_id, cast(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+        FROM scored QUALIFY rank <= 10""",
 }

@@ -12,6 +12,7 @@ from .alignment import alignment
 from .common import table, text_of
 from .exact_dedup import exact_dedup
 from .html import extract
+from .langid import identify
 from .line_dedup import line_dedup
 from .outliers import quality_rules
 from .packing import pack
@@ -72,6 +73,10 @@ def op11_ranked_search(spark: SparkSession, sf: str) -> DataFrame:
     return search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+def op12_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    return identify(table(spark, sf, "documents")).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op13_tokenizer_alignment(spark: SparkSession, sf: str) -> DataFrame:
     return alignment(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -88,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": op9_quality_rules,
     "op10_line_dedup": op10_line_dedup,
     "op11_ranked_search": op11_ranked_search,
+    "op12_language_id": op12_language_id,
     "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }
 

@@ -296,7 +296,7 @@ def merge_script(spark: SparkSession, sf: str) -> DataFrame:
     )
     mapping = {t: "staging" for t in TYPES}
     config = IngestConfig({"staging": staging}, {"users": target}, mapping, post_process=PostProcess((script,)))
-    store = TableStore(spark, scratch(spark), merge_buckets=8)
+    store = TableStore(spark, scratch(spark))
     log = event_log(spark, sf)
     ingest_batch(log.where("timestamp < '2024-01-15'"), "first", config, store)
     ingest_batch(log.where("timestamp >= '2024-01-15'"), "second", config, store)
@@ -314,12 +314,12 @@ def scripts_share_target(spark: SparkSession, sf: str) -> DataFrame:
     merged = PostProcess(tuple(Script(t, sql="SELECT cast(user_id AS int) AS user_id, max(event_id) AS event_id FROM batch GROUP BY 1", target="newest", keys=("user_id",)) for t in tables))
     log = event_log(spark, sf)
     log = log.withColumn("topic", F.when(F.col("offset") % 2 == 0, "even").otherwise("odd"))
-    store = TableStore(spark, scratch(spark), merge_buckets=8)
+    store = TableStore(spark, scratch(spark))
     for epoch, scripts in (("append", seen), ("merge", merged)):
         ingest_batch(log, epoch, IngestConfig(tables, {"seen": log_of, "newest": newest}, post_process=scripts), store)
-    # a store opened with another number of buckets goes on with the recorded one
+    # a store opened anew goes on with the newest version
     again = IngestConfig({"odd": tables["odd"]}, {"newest": newest}, post_process=PostProcess(merged.scripts[:1]))
-    ingest_batch(log, "again", again, TableStore(spark, store.root, merge_buckets=3))
+    ingest_batch(log, "again", again, TableStore(spark, store.root))
     store = TableStore(spark, store.root)
     rows = store.read(log_of).select("origin", "event_id", F.lit(None).cast("bigint").alias("user_id"))
     return rows.unionByName(store.read(newest).select(F.lit("newest").alias("origin"), "event_id", "user_id"))

@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.errors import StreamingQueryException
 
 from tidegate import (
     ENVELOPE,
@@ -17,6 +18,9 @@ from tidegate import (
     start_ingest,
     stream_topic_log,
 )
+from tidegate.operators import merge
+from tidegate.plans.ingest import plan_tables
+from tidegate.streaming.store import dealt
 
 SPEC = TableSpec.from_ddl("games", "id BIGINT NOT NULL, score TEXT, batch_id TEXT")
 
@@ -66,10 +70,10 @@ def test_an_epoch_run_twice_lands_once(spark, envelope, tmp_path):
     cfg = config(delivery="exactly_once")
     store = TableStore(spark, str(tmp_path / "store"))
     batch = envelope([("g", 0, i, record(i)) for i in range(10)])
-    # A crash after the write and before the commit leaves files nobody can see.
-    from tidegate import plan_rows, tag_batch
+    # A crash after the write and before the batch is published leaves files nobody can see.
+    from tidegate import tag_batch
 
-    store.stage("e1", plan_rows(batch, SPEC, constants=tag_batch("e1")), SPEC)
+    store.stage("e1", plan_tables(batch, cfg, tag_batch("e1")), cfg.tables)
     assert store.read(SPEC).count() == 0
     ingest_batch(batch, "e1", cfg, store)
     ingest_batch(batch, "e1", cfg, store)
@@ -96,8 +100,7 @@ def test_tolerance_none_publishes_nothing(spark, envelope, tmp_path):
     store = TableStore(spark, str(tmp_path / "store"))
     with pytest.raises(BatchFailed, match="offset 1"):
         ingest_batch(envelope([("g", 0, 0, record(0)), ("g", 0, 1, "bad")]), "e", config(), store)
-    store.refresh()
-    assert store.read(SPEC).count() == 0 and not store.log()
+    assert store.read(SPEC).count() == 0 and not store.published()
 
 
 def test_oversize_records_are_quarantined(spark, envelope, tmp_path):
@@ -118,15 +121,13 @@ def test_merge_script_keeps_the_latest(spark, envelope, tmp_path):
         update=("score",),
     )
     cfg = config(targets={"best": target}, post_process=PostProcess((script,)))
-    store = TableStore(spark, str(tmp_path / "store"), merge_buckets=4)
+    store = TableStore(spark, str(tmp_path / "store"))
     first = [("g", 0, i, record(i % 5, score=f"{i:02d}")) for i in range(10)]
     second = [("g", 0, 10 + i, record(i, score=f"{20 + i}")) for i in (3, 7)]
     ingest_batch(envelope(first), "e1", cfg, store)
     ingest_batch(envelope(second), "e2", cfg, store)
     assert dict(store.read(target).collect()) == {0: "05", 1: "06", 2: "07", 3: "23", 4: "09", 7: "27"}
     assert store.read(SPEC).count() == 12
-    # Only the buckets of the two new keys were rewritten.
-    assert [len(r["buckets"]) <= 2 for r in store.log() if r["kind"] == "merged" and r["epoch"] == "e2"] == [True]
 
 
 def test_callable_script_and_append(spark, envelope, tmp_path):
@@ -186,16 +187,16 @@ def test_scripts_that_append_to_one_table_keep_each_other(spark, envelope, tmp_p
 
 
 def test_scripts_that_merge_into_one_table_go_on_from_each_other(spark, envelope, tmp_path):
-    store = TableStore(spark, str(tmp_path), merge_buckets=2)
+    store = TableStore(spark, str(tmp_path))
     ingest_batch(two_tables(envelope), "e", scripted(*(Script(t, sql="SELECT id, v FROM batch", target="t", keys=("id",)) for t in TWO)), store)
     assert sorted(r.id for r in store.read(TARGET).collect()) == [0, 1, 2, 3, 100, 101, 102, 103]
 
 
-def test_merge_hashes_the_targets_type_into_the_recorded_buckets(spark, envelope, tmp_path):
+def test_merge_takes_the_targets_types(spark, envelope, tmp_path):
     narrow = Script("a", sql="SELECT cast(id AS int) AS id, v FROM batch", target="t", keys=("id",))
-    ingest_batch(two_tables(envelope, 20), "e1", scripted(narrow), TableStore(spark, str(tmp_path), merge_buckets=4))
+    ingest_batch(two_tables(envelope, 20), "e1", scripted(narrow), TableStore(spark, str(tmp_path)))
     wide = Script("a", sql="SELECT id, v + 1 AS v FROM batch WHERE id < 4", target="t", keys=("id",))
-    store = TableStore(spark, str(tmp_path), merge_buckets=8)
+    store = TableStore(spark, str(tmp_path))
     ingest_batch(two_tables(envelope, 20), "e2", scripted(wide), store)
     assert sorted((r.id, r.v) for r in store.read(TARGET).collect()) == [(i, i + (i < 4)) for i in range(20)]
 
@@ -226,25 +227,16 @@ def test_a_table_is_appended_to_or_merged_into():
         scripted(merge, Script("a", sql="SELECT id, v FROM batch", target="t", keys=("v",)))
 
 
-def test_a_crash_during_a_commit_does_not_block_the_store(spark, envelope, tmp_path):
+def test_a_crash_while_publishing_leaves_nothing_that_is_read(spark, envelope, tmp_path):
     store = TableStore(spark, str(tmp_path))
     ingest_batch(two_tables(envelope), "e0", scripted(delivery="exactly_once"), store)
-    (tmp_path / "commits" / "seq=1" / "_temporary").mkdir(parents=True)
-    (tmp_path / "_commits" / "left").mkdir(parents=True)
-    store = TableStore(spark, str(tmp_path))
+    (tmp_path / "published" / "e1" / "_temporary").mkdir(parents=True)
+    assert not store.committed("e1")
     for _ in range(2):
         ingest_batch(two_tables(envelope, 6), "e1", scripted(delivery="exactly_once"), store)
     assert store.read(TWO["a"]).count() == 6 and store.committed("e1")
 
 
-def test_two_writers_cannot_publish_the_same_number(spark, envelope, tmp_path):
-    one, two = TableStore(spark, str(tmp_path)), TableStore(spark, str(tmp_path))
-    assert one.log() == two.log() == []
-    one.commit("x", [])
-    with pytest.raises(FileExistsError):
-        two.commit("y", [])
-
-
 def test_a_failure_of_the_cluster_stops_the_query(spark, envelope, tmp_path):
     def lost(batch, batch_id):
         raise ConnectionError("storage is away")
@@ -253,17 +245,114 @@ def test_a_failure_of_the_cluster_stops_the_query(spark, envelope, tmp_path):
     cfg = scripted(Script("a", run=lost, target="t"), tolerance="all", delivery="exactly_once")
     with pytest.raises(ConnectionError):
         ingest_batch(two_tables(envelope), "e", cfg, store)
-    assert not store.committed("e") and not store.has_ledger() and store.read_dead_letters("a").count() == 0
+    assert not store.committed("e") and store.ledger() is None and store.read_dead_letters("a").count() == 0
     ingest_batch(two_tables(envelope), "e", scripted(delivery="exactly_once"), store)
     assert store.read(TWO["a"]).count() == 4
 
 
-def test_first_batch_is_not_shuffled(spark, envelope, tmp_path, monkeypatch):
-    plans = []
-    stage = TableStore.stage
-    monkeypatch.setattr(TableStore, "stage", lambda self, epoch, rows, spec: (plans.append(rows._jdf.queryExecution().executedPlan().toString()), stage(self, epoch, rows, spec))[1])
-    store, cfg = TableStore(spark, str(tmp_path)), IngestConfig({"a": TWO["a"]}, delivery="exactly_once")
-    ingest_batch(two_tables(envelope), "e0", cfg, store)
-    ingest_batch(two_tables(envelope, 8), "e1", cfg, store)
-    assert "Join" not in plans[0] and "Exchange hashpartitioning" not in "".join(plans)
-    assert store.read(TWO["a"]).count() == 8
+def test_batches_are_read_once_and_not_shuffled(spark, envelope, tmp_path):
+    """Three tables: one scan of the log, no join before there is a ledger, no exchange."""
+    write_log(envelope, str(tmp_path / "log"), [(t, 0, i, json.dumps({"id": i, "v": i})) for i in range(8) for t in ("a", "b", "c", "other")])
+    tables = {**TWO, "c": TableSpec.from_ddl("c", "id TEXT, v BOOLEAN")}
+    cfg = IngestConfig(tables, delivery="exactly_once", tolerance="all")
+    log = spark.read.schema(ENVELOPE).parquet(str(tmp_path / "log"))
+    plan = dealt(plan_tables(log, cfg), tables)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Join" not in plan and "Exchange" not in plan and "Union" not in plan
+    store = TableStore(spark, str(tmp_path / "store"))
+    counts = ingest_batch(log, "e", cfg, store)
+    assert counts == {"a": {"landed": 8, "dead": 0}, "b": {"landed": 8, "dead": 0}, "c": {"landed": 0, "dead": 8}}
+    assert sorted(r.id for r in store.read(TWO["b"]).collect()) == list(range(8))
+    assert [(r.topic, r.column) for r in store.read_dead_letters("c").collect()] == [("c", "v")] * 8
+
+
+PLAIN = TableSpec.from_ddl("games", "id BIGINT NOT NULL, score TEXT")
+
+
+def plain(**kwargs):
+    return IngestConfig({"games": PLAIN}, mapping={"g": "games"}, **{"tolerance": "all", "delivery": "exactly_once", **kwargs})
+
+
+def test_plain_ingest_is_one_streaming_query_into_the_file_sink(spark, envelope, tmp_path):
+    write_log(envelope, str(tmp_path / "log"), [("g", i % 3, i, record(i)) for i in range(30)] + [("g", 0, 99, "bad")])
+    store = run(spark, plain(), tmp_path)
+    assert store.read(PLAIN).count() == 30 and [r.reason for r in store.read_dead_letters("games").collect()] == ["no_converter"]
+    assert not store.published() and (tmp_path / "store" / "sink" / store.runs()[0] / "_spark_metadata").exists()
+    write_log(envelope, str(tmp_path / "log"), [("g", i % 3, i, record(i)) for i in range(100, 120)])
+    assert run(spark, plain(), tmp_path).read(PLAIN).count() == 50
+    # A lost checkpoint: a run of its own reads the log again, and the offsets of what has landed keep all of it out.
+    write_log(envelope, str(tmp_path / "log"), [("g", 7, 0, record(777))])
+    store = run(spark, plain(), tmp_path, "ck2")
+    assert len(store.runs()) == 2 and store.read(PLAIN).count() == 51
+    assert run(spark, plain(delivery="at_least_once"), tmp_path, "ck3").read(PLAIN).count() == 102
+
+
+def test_a_driver_lost_between_write_and_commit_lands_the_batch_once(spark, envelope, tmp_path):
+    write_log(envelope, str(tmp_path / "log"), [("g", 0, i, record(i)) for i in range(10)])
+    store = run(spark, plain(), tmp_path)
+    sink = tmp_path / "store" / "sink" / store.runs()[0]
+    written = list(sink.rglob("part-*.parquet"))
+    # As after a crash: the files lie there, the sink's log and the checkpoint know nothing of the batch.
+    for log in (sink / "_spark_metadata" / "0", tmp_path / "ck" / "commits" / "0"):
+        log.unlink()
+        log.with_name(f".{log.name}.crc").unlink(missing_ok=True)
+    assert store.read(PLAIN).count() == 0
+    store = run(spark, plain(), tmp_path)
+    assert store.read(PLAIN).count() == 10 and len(list(sink.rglob("part-*.parquet"))) == 2 * len(written)
+
+
+def test_tolerance_none_stops_the_stream_before_anything_lands(spark, envelope, tmp_path):
+    write_log(envelope, str(tmp_path / "log"), [("g", 0, 0, record(0)), ("g", 0, 1, "bad")])
+    with pytest.raises(StreamingQueryException, match="offset 1"):
+        run(spark, plain(tolerance="none"), tmp_path)
+    assert TableStore(spark, str(tmp_path / "store")).read(PLAIN).count() == 0
+
+
+def test_plain_mapping_may_change_between_runs(spark, envelope, tmp_path):
+    other = TableSpec.from_ddl("other", "id BIGINT")
+    write_log(envelope, str(tmp_path / "log"), [("g", 0, i, record(i)) for i in range(5)])
+    run(spark, plain(), tmp_path)
+    write_log(envelope, str(tmp_path / "log"), [(t, 0, 5 + i, record(i)) for i in range(5) for t in ("g", "other", "lost")])
+    both = IngestConfig({"games": PLAIN, "other": other}, mapping={"g": "games"}, delivery="exactly_once")
+    store = run(spark, both, tmp_path)
+    assert store.read(PLAIN).count() == 10 and store.read(other).count() == 5
+
+
+def test_defaults_of_columns_that_the_write_saw_no_value_for(spark, envelope, tmp_path):
+    spec = TableSpec.from_ddl("games", 'id BIGINT, grade TEXT DEFAULT \'none\', score TEXT DEFAULT \'x\', "odd name" INTEGER DEFAULT 7')
+    store = TableStore(spark, str(tmp_path))
+    ingest_batch(envelope([("g", 0, 0, record(0, score="a")), ("g", 0, 1, record(1))]), "e", IngestConfig({"games": spec}, mapping={"g": "games"}), store)
+    assert sorted(map(tuple, store.read(spec).collect())) == [(0, "none", "a", 7), (1, "none", None, 7)]
+
+
+def test_catalog_without_row_level_operations_is_refused_and_one_with_them_is_merged(spark, envelope, tmp_path, monkeypatch):
+    name = f"merged_{tmp_path.name.replace('-', '_')}"
+    spark.sql(f"CREATE TABLE {name} (id BIGINT, v BIGINT, w BIGINT) USING parquet")
+    assert not merge.supports_merge(spark, name) and not merge.supports_merge(spark, "no_such_table")
+    cfg = scripted(Script("a", sql="SELECT id, v FROM batch", target=name, keys=("id",), catalog=True))
+    store = TableStore(spark, str(tmp_path))
+    with pytest.raises(BatchFailed, match="row-level"):
+        ingest_batch(two_tables(envelope), "e", cfg, store)
+    assert not store.committed("e")
+    # A catalog with them: Spark is asked for one merge on the key, that updates and inserts.
+    asked = []
+
+    class Writer:
+        def __init__(self, table, condition):
+            asked.append((table, str(condition)))
+
+        def __getattr__(self, step):
+            return lambda *a: asked.append((step, sorted(a[0]) if a else None)) or self
+
+    monkeypatch.setattr(merge, "supports_merge", lambda *_: True)
+    monkeypatch.setattr(type(spark.range(1)), "mergeInto", lambda self, table, condition: Writer(table, condition))
+    ingest_batch(two_tables(envelope), "e", cfg, store)
+    assert asked[0][0] == f"`{name}`" and "id" in asked[0][1] and store.committed("e")
+    assert asked[1:] == [("whenMatched", None), ("update", ["v"]), ("whenNotMatched", None), ("insert", ["id", "v"]), ("merge", None)]
+    with pytest.raises(BatchFailed, match="Several rows"):
+        ingest_batch(two_tables(envelope), "f", scripted(Script("a", sql="SELECT id % 2 AS id, v FROM batch", target=name, keys=("id",), catalog=True)), store)
+
+
+def test_the_merge_statement_parses(spark):
+    text = merge.merge_sql("cat.db.t`x", ["id", "a b", "v"], ["id"], ["v"], "batch")
+    parsed = spark._jsparkSession.sessionState().sqlParser().parsePlan(text).toString()
+    assert "MergeIntoTable" in parsed and parsed.count("=") >= 1

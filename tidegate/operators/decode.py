@@ -84,7 +84,12 @@ def no_error() -> Column:
 
 
 def decode_json(
-    df: DataFrame, spec: TableSpec, max_bytes: int | None = None, usual_profile: str | None = None
+    df: DataFrame,
+    spec: TableSpec,
+    max_bytes: int | None = None,
+    usual_profile: str | None = None,
+    only: str | None = None,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Schemaless records: the value is one JSON object; attribute names match columns without regard to case.
 
@@ -93,52 +98,56 @@ def decode_json(
 
     With ``usual_profile`` records are first parsed straight into the types their attributes usually have; where
     that is certain to give what the general route would, ``_usual`` holds the finished values and ``_doc`` is NULL.
+    Records for which the SQL predicate ``only`` does not hold are not parsed; columns in ``keep`` are carried along.
     """
+    kept = [quote(c) for c in keep]
     names, lowers = _list(spec.names), _list([n.lower() for n in spec.names])
     value = "try_validate_utf8(CAST(value AS STRING))"
     too_large = "false" if max_bytes is None else f"octet_length({SRC}.value) > {int(max_bytes)}"
     if max_bytes is not None:
         # An oversize payload is quarantined, not parsed.
         value = f"if(octet_length(value) <= {int(max_bytes)}, {value}, NULL)"
+    if only is not None:
+        value = f"if({only}, {value}, NULL)"
     envelope = ", ".join(f"'{f.name}', {quote(f.name)}" for f in ENVELOPE.fields)
-    base = df.selectExpr(f"named_struct({envelope}) AS {SRC}", f"{value} AS _text")
-    keyed = base.selectExpr(SRC, "_text", "json_object_keys(_text) AS _keys")
+    base = df.selectExpr(f"named_struct({envelope}) AS {SRC}", f"{value} AS _text", *kept)
+    keyed = base.selectExpr(SRC, "_text", "json_object_keys(_text) AS _keys", *kept)
 
     respelled = f"exists(_keys, k -> k NOT IN {names} AND lower(k) IN {lowers})"
     matching = f"filter(array_distinct(_keys), k -> lower(k) IN {lowers})"
     clashing = f"size({matching}) > size(array_distinct(transform({matching}, k -> lower(k))))"
-    flagged = keyed.selectExpr(SRC, "_text", "_keys", f"{respelled} AS _respelled")
-    flagged = flagged.selectExpr(SRC, "_text", "_keys", "_respelled", f"if(_respelled, {clashing}, false) AS _clash")
+    flagged = keyed.selectExpr(SRC, "_text", "_keys", f"{respelled} AS _respelled", *kept)
+    flagged = flagged.selectExpr(SRC, "_text", "_keys", "_respelled", f"if(_respelled, {clashing}, false) AS _clash", *kept)
     rekeyed = f"if(_respelled AND NOT _clash, {_rekey(spec)}, _text)"
-    ready = flagged.selectExpr(SRC, f"{rekeyed} AS _text", "_keys", "_clash")
+    ready = flagged.selectExpr(SRC, f"{rekeyed} AS _text", "_keys", "_clash", *kept)
 
     general = _parse([(n, "VARIANT") for n in spec.names])
     usual = []
     if usual_profile is not None:
-        ready, usual = _read_usual(ready, spec, usual_profile), [USUAL]
+        ready, usual = _read_usual(ready, spec, usual_profile, kept), [USUAL]
         general = f"if({USUAL} IS NULL, {general}, NULL)"
-    parsed = ready.selectExpr(SRC, "_keys", "_clash", *usual, f"{general} AS {DOC}")
+    parsed = ready.selectExpr(SRC, "_keys", "_clash", *usual, f"{general} AS {DOC}", *kept)
     corrupt = f"(_keys IS NULL OR {DOC}.{_CORRUPT} IS NOT NULL)"
     status = C.case(
         [(too_large, _status_text(TOO_LARGE)), (corrupt, _status_text(NO_CONVERTER)), ("_clash", _status_text(AMBIGUOUS))]
     )
-    return parsed.selectExpr(SRC, "_keys", *usual, DOC, f"{status} AS _status")
+    return parsed.selectExpr(SRC, "_keys", *usual, DOC, f"{status} AS _status", *kept)
 
 
-def _read_usual(ready: DataFrame, spec: TableSpec, profile: str) -> DataFrame:
+def _read_usual(ready: DataFrame, spec: TableSpec, profile: str, kept: list[str]) -> DataFrame:
     """Add ``_usual``: the finished row where the record has the usual form throughout, else NULL."""
     reading = _parse([(c.name, C.usual_json_type(c.declared).simpleString()) for c in spec.columns])
-    raw = ready.selectExpr(SRC, "_text", "_keys", "_clash", f"{reading} AS _raw")
+    raw = ready.selectExpr(SRC, "_text", "_keys", "_clash", f"{reading} AS _raw", *kept)
     fields = [
         f"{C.text(c.name)}, {C.cast(C.from_usual_json(f'_raw.{quote(c.name)}', c.declared, profile), c.declared.spark)}"
         for c in spec.columns
     ]
-    valued = raw.selectExpr(SRC, "_text", "_keys", "_clash", "_raw", f"named_struct({', '.join(fields)}) AS _values")
+    valued = raw.selectExpr(SRC, "_text", "_keys", "_clash", "_raw", f"named_struct({', '.join(fields)}) AS _values", *kept)
     doubts = ["_keys IS NULL", "_clash", f"_raw.{_CORRUPT} IS NOT NULL"]
     doubts += [C.doubtful_json(f"_raw.{quote(c.name)}", f"_values.{quote(c.name)}", c) for c in spec.columns]
     # Branches of one CASE, not one long OR: generated code for branches can be split into methods.
     usual = C.case([(d, "NULL") for d in doubts if d is not None], "_values")
-    return valued.selectExpr(SRC, "_text", "_keys", "_clash", f"{usual} AS {USUAL}")
+    return valued.selectExpr(SRC, "_text", "_keys", "_clash", f"{usual} AS {USUAL}", *kept)
 
 
 def _list(names: list[str]) -> str:
@@ -163,7 +172,9 @@ def _rekey(spec: TableSpec) -> str:
     return f"concat('{{', array_join(transform({wanted}, e -> {member}), ','), '}}')"
 
 
-def decode_typed(df: DataFrame, spec: TableSpec, value: str = "value", max_bytes: int | None = None) -> DataFrame:
+def decode_typed(
+    df: DataFrame, spec: TableSpec, value: str = "value", max_bytes: int | None = None, keep: tuple[str, ...] = ()
+) -> DataFrame:
     """Typed records: ``value`` is a struct column whose field types are known while the plan is built.
 
     The size of a typed record, where it is limited, is that of its JSON form.
@@ -193,6 +204,7 @@ def decode_typed(df: DataFrame, spec: TableSpec, value: str = "value", max_bytes
         F.struct(*fields).alias(DOC),
         F.lit(value_type.names).alias("_keys"),
         status.alias("_status"),
+        *[col(c) for c in keep],
     )
 
 
@@ -237,7 +249,11 @@ def cast_fields(decoded: DataFrame, rules: dict[str, dict[str, str]]) -> DataFra
 
 
 def resolve_columns(
-    decoded: DataFrame, spec: TableSpec, profile: str = "sql", constants: dict[str, Column] | None = None
+    decoded: DataFrame,
+    spec: TableSpec,
+    profile: str = "sql",
+    constants: dict[str, Column] | None = None,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Decoded records as table rows: ``_src``, ``_error`` and one column per table column.
 
@@ -271,14 +287,15 @@ def resolve_columns(
         else:
             failed, why = f"{name} IS NULL", C.case([(is_given, reason)], C.text(NOT_NULL))
         errors.append(C.case([(failed, _error_text(why, column))]))
-    kept = [c for c in (SRC, DOC, USUAL, "_status") if c in decoded.columns]
+    carried = [quote(c) for c in keep]
+    kept = [c for c in (SRC, DOC, USUAL, "_status") if c in decoded.columns] + carried
     usual = [(f"{USUAL} IS NOT NULL", "NULL")] if has_usual else []
     first_error = C.case(usual, f"coalesce({', '.join(errors)})")
     # A filter on the error must run on its finished value. Pushed below these projections, it would repeat the
     # parsing and coercion of every column; reading the partition id, always >= 0, keeps the optimizer from that.
     first_error = C.case([("spark_partition_id() >= 0", first_error)])
     valued = decoded.select(*kept, *[F.expr(v) if isinstance(v, str) else v for v in values])
-    return valued.selectExpr(SRC, f"{first_error} AS {ERROR}", *names)
+    return valued.selectExpr(SRC, f"{first_error} AS {ERROR}", *names, *carried)
 
 
 def observed_columns(decoded: DataFrame) -> DataFrame:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.names import col, quote
+from .sinks import table_name
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -60,3 +62,38 @@ def upsert(
     ]
     return merged.unionByName(added.select(*filled))
 
+
+def merge_sql(table: str, columns: list[str], keys: list[str], update: list[str], source: str) -> str:
+    """The statement that :func:`merge_into` stands for."""
+    on = " AND ".join(f"t.{quote(k)} = s.{quote(k)}" for k in keys)
+    matched = f" WHEN MATCHED THEN UPDATE SET {', '.join(f't.{quote(c)} = s.{quote(c)}' for c in update)}" if update else ""
+    added = ", ".join(quote(c) for c in columns)
+    return f"MERGE INTO {table_name(table)} t USING {source} s ON {on}{matched} WHEN NOT MATCHED THEN INSERT ({added}) VALUES ({', '.join(f's.{quote(c)}' for c in columns)})"
+
+
+def supports_merge(spark: SparkSession, table: str) -> bool:
+    """Whether the catalog can merge rows into a table: asked by planning a merge of nothing, not by running one."""
+    try:
+        columns = spark.table(table_name(table)).columns
+        shown = spark.sql(f"EXPLAIN {merge_sql(table, columns, columns[:1], [], f'(SELECT * FROM {table_name(table)} LIMIT 0)')}").first()[0]
+    except AnalysisException:
+        return False
+    return "Error occurred during query planning" not in shown
+
+
+def merge_into(source: DataFrame, table: str, keys: list[str], update: list[str] | None = None) -> None:
+    """Merge into a catalog table with row-level operations: matched rows take the ``update`` columns, others are added.
+
+    ``source`` must have one row per key; columns that the table lacks take no part.
+    """
+    own = source.sparkSession.table(table_name(table)).columns
+    columns = [c for c in own if c in source.columns]
+    update = [c for c in columns if c not in keys] if update is None else update
+    on = [F.col(f"s.{quote(k)}") == F.col(f"{table_name(table)}.{quote(k)}") for k in keys]
+    condition = on[0]
+    for one in on[1:]:
+        condition = condition & one
+    writer = source.select(*[col(c) for c in columns]).alias("s").mergeInto(table_name(table), condition)
+    if update:
+        writer = writer.whenMatched().update({c: F.col(f"s.{quote(c)}") for c in update})
+    writer.whenNotMatched().insert({c: F.col(f"s.{quote(c)}") for c in columns}).merge()

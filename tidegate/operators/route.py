@@ -36,12 +36,15 @@ def route(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     return df.withColumn("table", table_of(F.col("topic"), mapping))
 
 
+def topic_names(table: str, mapping: dict[str, str]) -> list[str]:
+    """The topics that go to one table."""
+    sources = [t for t, target in mapping.items() if target == table]
+    return sources if table in mapping else [*sources, table]
+
+
 def topics_of(table: str, mapping: dict[str, str]) -> Column:
     """Predicate on ``topic`` for one table's records. A plain comparison, so it reaches the scan."""
-    sources = [t for t, target in mapping.items() if target == table]
-    if table not in mapping:
-        sources.append(table)
-    return F.col("topic").isin(sources)
+    return F.col("topic").isin(topic_names(table, mapping))
 
 
 def known_topics(mapping: dict[str, str], tables: list[str]) -> list[str]:

@@ -12,12 +12,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import coerce as C
 from ..functions.coerce import PROFILES
 from ..functions.names import col
 from ..functions.types import ColumnSpec, TableSpec
 from ..operators import decode as D
 from ..operators.quarantine import TOLERANCES
-from ..operators.route import parse_mapping
+from ..operators.route import filter_topics, known_topics, parse_mapping, table_of, topic_names
 from ..operators.verify import DELIVERIES
 
 BATCH_ID = "batch_id"
@@ -28,8 +29,8 @@ _BATCH_ID_PARAMETER = re.compile(r"\$\{(?:\w+\.)?batch_id\}")
 class Script:
     """What to run after a batch of ``table`` is staged.
 
-    ``sql`` may be a query, whose result goes to ``target`` (appended, or merged on ``keys``) in the same commit as
-    the batch; or, without ``target``, any statement, which then acts on the catalog by itself. ``run`` is the same
+    ``sql`` may be a query, whose result goes to ``target`` (appended, or merged on ``keys``) and is published with the
+    batch; with ``catalog`` the target is merged in the catalog instead. Or, without ``target``, any statement, which then acts on the catalog by itself. ``run`` is the same
     as a function of (batch rows, batch id).
     """
 
@@ -39,6 +40,7 @@ class Script:
     target: str | None = None
     keys: tuple[str, ...] = ()
     update: tuple[str, ...] | None = None
+    catalog: bool = False  # the target is a catalog table with row-level operations, merged in place
 
     def text(self, batch_id: str) -> str:
         """The SQL with the batch id filled in; other parameters stay as they are."""
@@ -74,6 +76,7 @@ class PostProcess:
                     target=mapping.get("target"),
                     keys=tuple(mapping.get("keys") or ()),
                     update=tuple(mapping["update"]) if mapping.get("update") else None,
+                    catalog=bool(mapping.get("catalog")),
                 )
             )
         return cls(tuple(scripts))
@@ -128,18 +131,71 @@ def plan_rows(
     max_bytes: int | None = None,
     casts: dict[str, dict[str, str]] | None = None,
     constants: dict[str, Column] | None = None,
+    only: str | None = None,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Envelope rows of one table as ``_src``, ``_error`` and the table's columns. No shuffle, one parse per record."""
+    """Envelope rows of one table as ``_src``, ``_error`` and the table's columns. No shuffle.
+
+    JSON for which the predicate ``only`` does not hold is not parsed; columns in ``keep`` are carried along.
+    """
     fixed = {k.lower() for k in constants or {}}
     read = TableSpec(spec.name, tuple(c for c in spec.columns if c.name.lower() not in fixed))
     if isinstance(envelope.schema["value"].dataType, T.StructType):
-        decoded = D.decode_typed(envelope, read, max_bytes=max_bytes)
+        decoded = D.decode_typed(envelope, read, max_bytes=max_bytes, keep=keep)
     else:
         # Casts work on VARIANT attributes, so with them the direct route does not apply.
-        decoded = D.decode_json(envelope, read, max_bytes, None if casts else profile)
+        decoded = D.decode_json(envelope, read, max_bytes, None if casts else profile, only, keep)
     if casts:
         decoded = D.cast_fields(decoded, casts)
-    return D.resolve_columns(decoded, spec, profile, constants)
+    return D.resolve_columns(decoded, spec, profile, constants, keep)
+
+
+def row_column(table: str) -> str:
+    """The struct that holds a table's columns where rows of several tables share a DataFrame."""
+    return f"row_{table}"
+
+
+def plan_tables(envelope: DataFrame, config: "IngestConfig", constants: dict[str, Column] | None = None) -> DataFrame:
+    """Records of all tables in one pass: ``_src``, ``table``, ``_error`` and for each table a struct of its columns.
+
+    The input is read once, whatever the number of tables: a record is parsed for the table that its topic goes to, and
+    the other tables' structs are NULL. Records of topics without a table, or not subscribed to, are left out.
+    """
+    if config.topics is not None:
+        envelope = filter_topics(envelope, list(config.topics))
+    envelope = filter_topics(envelope, known_topics(config.mapping, list(config.tables)))
+    typed = isinstance(envelope.schema["value"].dataType, T.StructType)
+    done: tuple[str, ...] = ("_typed",) if typed else ()
+    rows = envelope.withColumn("_typed", F.col("value")) if typed else envelope
+    errors = {}
+    for n, (table, spec) in enumerate(config.tables.items()):
+        mine = f"topic IN ({', '.join(C.text(t) for t in topic_names(table, config.mapping))})"
+        planned = plan_rows(
+            rows, spec, config.profile, max_bytes=config.max_bytes, casts=config.casts, constants=constants, only=mine, keep=done
+        )
+        errors[table] = f"_error_{n}"
+        row = F.struct(*[col(c) for c in spec.names])
+        good = F.expr(f"{D.SRC}.{mine}") & F.col(D.ERROR).isNull()
+        fields = [F.col(f"{D.SRC}.{f.name}") for f in D.ENVELOPE.fields if f.name != "value"]
+        value = F.col("_typed" if typed else f"{D.SRC}.value").alias("value")
+        last = [F.col(f"{D.SRC}.value").alias("_text")] if typed else []
+        rows = planned.select(
+            *fields,
+            value,
+            *last,
+            *[col(c) for c in done if c != "_text"],
+            F.when(good, row).alias(row_column(table)),
+            F.when(F.expr(f"{D.SRC}.{mine}"), F.col(D.ERROR)).alias(errors[table]),
+        )
+        done = (*[c for c in done if c != "_text"], row_column(table), errors[table])
+    value = F.col("_text" if typed else "value").alias("value")
+    source = F.struct(*[value if f.name == "value" else F.col(f.name) for f in D.ENVELOPE.fields])
+    return rows.select(
+        source.alias(D.SRC),
+        table_of(F.col("topic"), config.mapping).alias("table"),
+        F.coalesce(*[F.col(e) for e in errors.values()]).alias(D.ERROR),
+        *[col(row_column(t)) for t in config.tables],
+    )
 
 
 def fill_defaults(rows: DataFrame, spec: TableSpec) -> DataFrame:

@@ -1,11 +1,16 @@
-"""The streaming ingest: micro-batches of a topic log into a :class:`TableStore`."""
+"""The ingest of a topic log into a :class:`TableStore`, streamed by Spark's file sink or batch by batch.
+
+Where every record's fate depends on that record alone, the whole plan is one streaming query into Spark's file sink,
+which with its checkpoint lands each record once. Scripts, batch ids and defaults that look at a whole batch need
+``foreachBatch``: there the checkpoint's batch id names the folders, so that a batch that runs again overwrites itself.
+"""
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from uuid import uuid4
 
-from pyspark import StorageLevel
 from pyspark.errors import (
     AnalysisException,
     ArithmeticException,
@@ -19,12 +24,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.names import col, quote
 from ..functions.types import SchemaError, TableSpec
-from ..operators import offsets, route
+from ..operators import merge, offsets, route
 from ..operators.quarantine import BatchFailed, enforce, whole_batch_dead
-from ..plans.ingest import IngestConfig, Script, fill_defaults, plan_rows, tag_batch
+from ..plans.ingest import BATCH_ID, IngestConfig, Script, plan_tables, row_column, tag_batch
 from ..session import configure
-from .store import Change, TableStore
+from .store import Change, TableStore, dealt, require_single
 
 
 #: What a script's own text and values can cause. Anything else, such as lost executors, stops the query, and the epoch runs again.
@@ -45,72 +51,68 @@ class PostProcessFailed(BatchFailed):
     """The post-processing of a batch failed, so the batch is not published."""
 
 
-def ingest_batch(batch: DataFrame, epoch: str, config: IngestConfig, store: TableStore) -> None:
-    """One micro-batch, published by a single commit.
+def ingest_batch(batch: DataFrame, epoch: str, config: IngestConfig, store: TableStore) -> dict[str, dict[str, int]]:
+    """One batch, read once and published by a single small file. Returns what landed and failed in each table.
 
-    Under exactly-once an epoch that was committed before is skipped, and records at or below the ledger are
+    Under exactly-once an epoch that was published before is skipped, and records at or below the ledger are
     dropped, whichever query or checkpoint they come back through. Under at-least-once every attempt lands.
     """
     exactly_once = config.delivery == "exactly_once"
     if exactly_once:
         if store.committed(epoch):
-            return
-        if store.has_ledger():
-            batch = offsets.drop_processed(batch, store.ledger())
-    if config.topics is not None:
-        batch = route.filter_topics(batch, list(config.topics))
-    batch = route.filter_topics(batch, route.known_topics(config.mapping, list(config.tables)))
-    # Several targets read the same batch; keep it, so that the source is read and filtered once.
-    shared = len(config.tables) > 1
-    if shared:
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        changes: list[Change] = []
-        for table, records in route.split_by_table(batch, config.mapping, list(config.tables)).items():
-            changes += _ingest_table(records, epoch, table, config, store, changes)
-        if exactly_once:
-            ledger = store.stage_ledger(epoch, changes)
-            changes += [ledger] if ledger else []
-        store.commit(epoch, changes)
-    finally:
-        if shared:
-            batch.unpersist()
-
-
-def _ingest_table(
-    records: DataFrame, epoch: str, table: str, config: IngestConfig, store: TableStore, staged: list[Change]
-) -> list[Change]:
-    spec = config.tables[table]
-    try:
-        rows = plan_rows(
-            records,
-            spec,
-            config.profile,
-            max_bytes=config.max_bytes,
-            casts=config.casts,
-            constants=tag_batch(epoch),
-        )
-        if config.profile == "sql":
-            rows = fill_defaults(rows, spec)
-        changes = store.stage(epoch, rows, spec)
-        for change in changes:
-            if change.kind == "dead" and config.tolerance == "none":
-                enforce(_staged_dead(store, change, table), config.tolerance)
-        script = config.post_process.script_for(table)
-        if script is not None and any(c.kind == "landed" for c in changes):
-            changes += run_script(script, epoch, changes, config, store, staged)
-        return changes
-    except (BatchFailed, SchemaError, AnalysisException) as e:
-        # Failures of the cluster are not caught: the query stops and the epoch runs again.
-        if config.tolerance == "none" or not _of_the_batch(e):
-            raise
-        return store.stage_dead(epoch, whole_batch_dead(records, table, e), table)
-
-
-def _staged_dead(store: TableStore, change: Change, table: str) -> DataFrame:
-    names = ("topic", "partition", "offset", "message")
-    staged = store.spark.read.schema("_topic string, _partition int, _offset bigint, _message string")
-    return staged.parquet(change.path).select(*[F.col(f"_{n}").alias(n) for n in names], F.lit(table).alias("table"))
+            return {}
+        if (ledger := store.ledger()) is not None:
+            batch = offsets.drop_processed(batch, ledger)
+    staged, seen = store.stage(epoch, plan_tables(batch, config, tag_batch(epoch)), config.tables)
+    counts = {t: {o: seen.get(f"{o}_{n}") or 0 for o in ("landed", "dead")} for n, t in enumerate(config.tables)}
+    if config.tolerance == "none":
+        enforce(store.staged_dead(staged), config.tolerance)
+    if config.profile == "sql":
+        staged = _with_defaults(epoch, staged, seen, config, store)
+    changes: list[Change] = []
+    for table, outcomes in counts.items():
+        own = [Change(o, table, staged, n) for o, n in outcomes.items() if n]
+        try:
+            script = config.post_process.script_for(table)
+            if script is not None and outcomes["landed"]:
+                own += run_script(script, epoch, own, config, store, changes)
+        except (BatchFailed, SchemaError, AnalysisException) as e:
+            # Failures of the cluster are not caught: the query stops and the epoch runs again.
+            if config.tolerance == "none" or not _of_the_batch(e):
+                raise
+            records = route.filter_topics(batch, route.topic_names(table, config.mapping))
+            if config.topics is not None:
+                records = route.filter_topics(records, list(config.topics))
+            own = store.stage_dead(epoch, whole_batch_dead(records, table, e), table)
+            counts[table] = {"landed": 0, "dead": outcomes["landed"] + outcomes["dead"]}
+        changes += own
+    if exactly_once and any(n for outcomes in counts.values() for n in outcomes.values()):
+        changes.append(store.stage_ledger(epoch, staged))
+    store.publish(epoch, changes)
+    return counts
+
+
+def _with_defaults(epoch: str, staged: str, seen: dict[str, int], config: IngestConfig, store: TableStore) -> str:
+    """Nullable columns that no record of a table had a value for take their default, as the write has shown.
+
+    Only then is what was written read again: parsed rows, not records.
+    """
+    absent = {
+        t: [c for k, c in enumerate(spec.columns) if c.default is not None and c.nullable and not seen.get(f"given_{n}_{k}")]
+        for n, (t, spec) in enumerate(config.tables.items())
+        if seen.get(f"landed_{n}")
+    }
+    if not any(absent.values()):
+        return staged
+    rows = store.staged_rows(staged, config.tables)
+    for table, columns in absent.items():
+        if columns:
+            row = col(row_column(table))
+            filled = row
+            for c in columns:
+                filled = filled.withField(quote(c.name), F.expr(c.default).cast(c.declared.spark))
+            rows = rows.withColumn(row_column(table), F.when(row.isNotNull(), filled))
+    return store.write_dealt(rows, f"{staged}-filled")
 
 
 def _of_the_batch(e: Exception) -> bool:
@@ -127,8 +129,8 @@ def run_script(
     what is published, plus this batch for the table itself.
     """
     spec = config.tables[script.table]
-    landed = [c.path for c in changes if c.kind == "landed" and c.name == script.table]
-    batch = store.spark.read.schema(spec.schema).parquet(*landed)
+    landed = next(c.path for c in changes if c.kind == "landed" and c.name == script.table)
+    batch = store.landed_rows(landed, spec)
     # A micro-batch has a session of its own, so the views do not clash with the user's.
     session = batch.sparkSession
     views = []
@@ -151,6 +153,9 @@ def run_script(
             return []
         known = {**config.tables, **config.targets}
         target = known.get(script.target) or TableSpec.from_spark(script.target, result.schema)
+        if script.keys and script.catalog:
+            merge_into_catalog(result, script)
+            return []
         if script.keys:
             update = list(script.update) if script.update is not None else None
             return store.stage_merge(batch_id, result, target, list(script.keys), update, script.table, [*staged, *changes])
@@ -164,6 +169,39 @@ def run_script(
             session.catalog.dropTempView(view)
 
 
+def merge_into_catalog(result: DataFrame, script: Script) -> None:
+    """Merge a script's rows into a catalog table by its own row-level operation, which is one commit of that table.
+
+    A batch that runs again merges the same rows again, which changes nothing. A failure later in the batch cannot take
+    the merge back, so it is the last thing a script does.
+    """
+    work = result.sparkSession
+    if not merge.supports_merge(work, script.target):
+        raise SchemaError(f"{script.target} has no row-level operations; without `catalog` the store keeps its versions")
+    require_single(result, script.target, list(script.keys))
+    merge.merge_into(result, script.target, list(script.keys), list(script.update) if script.update is not None else None)
+
+
+def streams_whole(config: IngestConfig) -> bool:
+    """Whether each record's fate depends on that record alone."""
+    columns = [c for spec in config.tables.values() for c in spec.columns]
+    by_batch = any(c.name.lower() == BATCH_ID for c in columns)
+    defaulted = config.profile == "sql" and any(c.default is not None and c.nullable for c in columns)
+    return not (config.post_process.scripts or by_batch or defaulted)
+
+
+def plan_stream(stream: DataFrame, config: IngestConfig) -> DataFrame:
+    """All tables' rows and dead letters in one streaming DataFrame, laid out as the store reads them.
+
+    Under tolerance ``none`` a record that does not fit fails its batch as it is written.
+    """
+    out = dealt(plan_tables(stream, config), config.tables)
+    if config.tolerance == "none":
+        where = F.concat_ws(" ", "_message", F.lit("(table"), "table", F.lit("topic"), "_topic", F.lit("offset"), F.col("_offset").cast("string"), F.lit(")"))
+        out = out.withColumn("outcome", F.when(F.col("outcome") == "dead", F.raise_error(where)).otherwise(F.col("outcome")))
+    return out
+
+
 def start_ingest(
     stream: DataFrame,
     config: IngestConfig,
@@ -172,25 +210,36 @@ def start_ingest(
     *,
     available_now: bool = False,
     trigger_seconds: float | None = None,
-    merge_buckets: int = 64,
 ) -> StreamingQuery:
-    """Start the ingest. The mapping and tables are not part of the checkpoint and may change between runs."""
+    """Start the ingest. The mapping and tables are not part of the checkpoint and may change between runs.
 
-    store = TableStore(stream.sparkSession, root, merge_buckets)
+    Under exactly-once, records that an earlier run (a lost checkpoint) has landed are dropped by their offsets.
+    """
+    spark = stream.sparkSession
+    store = TableStore(spark, root)
+    if streams_whole(config):
+        run = store.run_of(checkpoint)
+        if config.delivery == "exactly_once" and (before := store.start_of(run)) is not None:
+            stream = offsets.drop_processed(stream, before)
+        sink = plan_stream(stream, config).writeStream.format("parquet").partitionBy("table", "outcome")
+        writer = sink.option("path", f"{store.root}/sink/{run}")
+    else:
+        writer = stream.writeStream.foreachBatch(_each_batch(config, store))
+    writer = writer.option("checkpointLocation", checkpoint)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    elif trigger_seconds is not None:
+        writer = writer.trigger(processingTime=f"{trigger_seconds} seconds")
+    return writer.start()
 
+
+def _each_batch(config: IngestConfig, store: TableStore) -> Callable[[DataFrame, int], None]:
     def run(batch: DataFrame, batch_number: int) -> None:
-        nonlocal store
         session = configure(batch.sparkSession)
-        store = store.using(session)
         query = session.sparkContext.getLocalProperty("sql.streaming.queryId")
         epoch = f"{query}-{batch_number}"
         if config.delivery == "at_least_once":
             epoch = f"{epoch}-{uuid4().hex[:12]}"
-        ingest_batch(batch, epoch, config, store)
+        ingest_batch(batch, epoch, config, store.using(session))
 
-    writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    elif trigger_seconds is not None:
-        writer = writer.trigger(processingTime=f"{trigger_seconds} seconds")
-    return writer.start()
+    return run

@@ -313,7 +313,7 @@ ARRAYS = {
 }
 
 
-def _array_query(kind: str):
+def _array_query(kind: str, profile: str = "binary"):
     declared, text, shown, _ = ARRAYS[kind]
 
     def run(spark: SparkSession, sf: str) -> DataFrame:
@@ -325,7 +325,7 @@ def _array_query(kind: str):
             tail = F.expr("CASE WHEN vec_id % 5 = 0 AND vec_id % 7 > 0 THEN array('null') ELSE array() END")
         payload = F.concat(F.lit('{"a":['), F.array_join(F.concat(parts, tail), ","), F.lit("]}"))
         log = to_envelope(vectors, F.lit("vectors"), F.col("label"), F.col("vec_id"), payload)
-        rows = plan_rows(log, TableSpec.from_ddl("t", f"a ARRAY({declared})"), "binary")
+        rows = plan_rows(log, TableSpec.from_ddl("t", f"a ARRAY({declared})"), profile)
         total = F.expr(f"aggregate(filter(a, e -> e is not null), 0L, (s, e) -> s + {shown})")
         return rows.select(
             F.col(f"{SRC}.offset").alias("vec_id"),
@@ -378,6 +378,7 @@ def payload_numbers(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {f"coerce_{k}": _spark_query(k) for k in CASES}
 QUERIES |= {f"coerce_array_{k}": _array_query(k) for k in ARRAYS}
+QUERIES |= {f"coerce_array_{k}_sql": _array_query(k, "sql") for k in ARRAYS}
 QUERIES |= {
     "coerce_timestamp_magnitude": timestamp_magnitude,
     "decimal_half_up": decimal_half_up,
@@ -389,6 +390,7 @@ _EVENT_COLUMNS = """select '{p}' as profile, event_id, user_id, cast(cast(value
     epoch_us(ts) as ts from events"""
 ORACLES = {f"coerce_{k}": _oracle(k) for k in CASES}
 ORACLES |= {f"coerce_array_{k}": _array_oracle(k) for k in ARRAYS}
+ORACLES |= {f"coerce_array_{k}_sql": _array_oracle(k) for k in ARRAYS}
 ORACLES |= {
     "coerce_timestamp_magnitude": """select event_id, n as "at", n as tz from (select event_id,
         case when event_id % 2 = 0 then epoch_us(ts) // 1000 * 1000 else epoch_us(ts) end as n from events)""",

@@ -24,6 +24,7 @@ from typing import NamedTuple
 from pyspark.sql import types as T
 
 from . import grammar as G
+from .names import quote
 from .types import ColumnSpec, Declared
 
 PROFILES = ("sql", "binary")
@@ -37,6 +38,8 @@ _NUMERIC = ("integer", "bigint", "real", "double", "decimal")
 _SMALL = (T.ByteType, T.ShortType, T.IntegerType)
 _FRACTION = (T.FloatType, T.DoubleType, T.DecimalType)
 _NESTED = (T.StructType, T.MapType, T.ArrayType)
+_TIMES = (T.DateType, T.TimestampType, T.TimestampNTZType)
+_IN_JSON = (T.BinaryType, *_TIMES)
 _EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 
 
@@ -329,6 +332,8 @@ def _typed_scalar(raw: str, source: T.DataType, declared: Declared, profile: str
     value, reason = None, text(OUT_OF_RANGE)
     if isinstance(source, T.StringType):
         value, reason = _from_string(raw, declared, profile), _string_reason(raw, declared)
+    elif kind == "json" and isinstance(source, _IN_JSON):
+        value = _json_scalar(raw, source)
     elif isinstance(source, T.BinaryType):
         if kind in ("bytea", "text"):
             value, reason = cast(raw, declared.spark), text(UNPARSABLE)
@@ -342,12 +347,52 @@ def _typed_scalar(raw: str, source: T.DataType, declared: Declared, profile: str
         value = _from_calendar(raw, source, kind, profile)
     elif isinstance(source, _NESTED):
         if kind in ("text", "json"):
-            value = to_json_text(raw)
+            value = to_json_text(_for_json(raw, source))
     if value is None:
         return Coerced(_null(declared), text(INCOMPATIBLE))
     return Coerced(cast(value, declared.spark), reason)
 
 
+def _json_scalar(raw: str, source: T.DataType) -> str:
+    """A typed value that JSON has no form for: bytes as base-64 text, points in time as milliseconds since 1970."""
+    if isinstance(source, T.BinaryType):
+        return f"concat('\"', base64({raw}), '\"')"
+    return cast(_millis(raw, source), "string")
+
+
+def _millis(raw: str, source: T.DataType) -> str:
+    if isinstance(source, T.DateType):
+        return f"(unix_date({raw}) * 86400000L)"
+    if isinstance(source, T.TimestampType):
+        return f"unix_millis({raw})"
+    micros = f"timestampdiff(MICROSECOND, {_EPOCH}, {raw})"
+    return f"(({micros} - pmod({micros}, 1000L)) DIV 1000)"
+
+
+def _for_json(raw: str, source: T.DataType, depth: int = 0) -> str:
+    """The same value with points in time inside it as milliseconds since 1970 (bytes become base-64 text by themselves)."""
+    if not _holds_time(source):
+        return raw
+    if isinstance(source, T.StructType):
+        fields = ", ".join(f"{text(f.name)}, {_for_json(f'{raw}.{quote(f.name)}', f.dataType, depth)}" for f in source.fields)
+        return f"if({raw} IS NULL, NULL, named_struct({fields}))"
+    if isinstance(source, T.ArrayType):
+        return f"transform({raw}, e{depth} -> {_for_json(f'e{depth}', source.elementType, depth + 1)})"
+    if isinstance(source, T.MapType):
+        return f"transform_values({raw}, (k{depth}, e{depth}) -> {_for_json(f'e{depth}', source.valueType, depth + 1)})"
+    return _millis(raw, source)
+
+
+def _holds_time(source: T.DataType) -> bool:
+    if isinstance(source, T.StructType):
+        return any(_holds_time(f.dataType) for f in source.fields)
+    if isinstance(source, T.ArrayType):
+        return _holds_time(source.elementType)
+    if isinstance(source, T.MapType):
+        return _holds_time(source.valueType)
+    return isinstance(source, _TIMES)
+
+
 def _accepts_number(kind: str, source: T.DataType, profile: str) -> bool:
     small, whole = isinstance(source, _SMALL), isinstance(source, _SMALL + (T.LongType,))
     if kind in ("double", "decimal", "text", "json"):

@@ -149,7 +149,7 @@ class TableSpec:
                     field.name,
                     Declared.parse(text) if text else Declared.of(field.dataType),
                     field.nullable and not field.metadata.get("required", False),
-                    field.metadata.get("default"),
+                    field.metadata.get("default", field.metadata.get("CURRENT_DEFAULT")),  # the second is the catalog's own
                 )
             )
         return cls(name, tuple(columns))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 LEDGER_SCHEMA = "topic string, topic_partition int, partition_offset bigint"
 UNKNOWN_PARTITION = -1  # stands for a record without a partition
@@ -51,3 +53,33 @@ def register_partitions(ledger: DataFrame, partitions: DataFrame) -> DataFrame:
     unseen = partitions.select("topic", "topic_partition").distinct()
     unseen = unseen.join(ledger, ["topic", "topic_partition"], "left_anti")
     return ledger.unionByName(unseen.withColumn("partition_offset", F.lit(UNSEEN_OFFSET).cast("bigint")))
+
+
+def start_high_water(stream: DataFrame, path: str, checkpoint: str, *, available_now: bool = False, trigger_seconds: float | None = None) -> StreamingQuery:
+    """Keep the high-water mark of a stream under ``path``, as a stateful aggregate.
+
+    Spark's state store holds one row per topic partition and the checkpoint carries it from run to run, so no batch reads
+    earlier records; a batch writes the partitions that it moved, into a folder of its number, which a rerun overwrites.
+    New partitions join by themselves.
+    """
+
+    def write(moved: DataFrame, number: int) -> None:
+        moved.coalesce(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={number}")
+
+    writer = high_water(stream).writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    elif trigger_seconds is not None:
+        writer = writer.trigger(processingTime=f"{trigger_seconds} seconds")
+    return writer.start()
+
+
+def read_high_water(spark: SparkSession, path: str) -> DataFrame:
+    """The ledger that :func:`start_high_water` keeps: of all that was written for a partition, the highest."""
+    try:
+        moved = spark.read.schema(LEDGER_SCHEMA).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return empty_ledger(spark)
+    return moved.groupBy("topic", "topic_partition").agg(F.max("partition_offset").alias("partition_offset"))

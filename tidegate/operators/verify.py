@@ -75,3 +75,55 @@ def spot_check(table: DataFrame, n: int, id_column: str = "id", name_column: str
     )
     found = found.groupBy("id").agg(F.bool_and("named").alias("named"))
     return wanted.join(found, "id", "left").select("id", F.coalesce("named", F.lit(False)).alias("ok"))
+
+
+# --- exact sets of ids as bitmaps -------------------------------------------------------------------------------
+
+BITS = 8 * 4096  # of one bitmap: what Spark's bitmap functions take
+
+
+def id_bitmaps(table: DataFrame, column: str) -> DataFrame:
+    """The set of an integer column's values: ``bucket``, ``bitmap`` (4 kB for 32,768 ids) and ``records``.
+
+    Made per batch and kept, such sets answer for distinct, repeated and missing ids later without the ids: they combine
+    map-side and merge by bucket. They are small where ids lie close together, as numbers of a sequence do.
+    """
+    value = col(column).cast("bigint")
+    known = table.where(value.isNotNull())
+    grouped = known.groupBy(F.bitmap_bucket_number(value).alias("bucket"))
+    return grouped.agg(F.bitmap_construct_agg(F.bitmap_bit_position(value)).alias("bitmap"), F.count(F.lit(1)).alias("records"))
+
+
+def merge_bitmaps(*sets: DataFrame) -> DataFrame:
+    """The union of sets; records add up, so that an id in two batches counts as repeated."""
+    both = sets[0]
+    for more in sets[1:]:
+        both = both.unionByName(more)
+    return both.groupBy("bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"), F.sum("records").alias("records"))
+
+
+def bitmap_counts(ids: DataFrame) -> DataFrame:
+    """``records``, ``distinct_ids`` and ``repeated`` (records beyond the first of their id) of a merged set."""
+    distinct, records = F.sum(F.bitmap_count("bitmap")), F.sum("records")
+    counted = ids.agg(F.coalesce(records, F.lit(0)).alias("records"), F.coalesce(distinct, F.lit(0)).alias("distinct_ids"))
+    return counted.withColumn("repeated", F.col("records") - F.col("distinct_ids"))
+
+
+def missing_from_bitmaps(expected: DataFrame, actual: DataFrame, name: str = "id") -> DataFrame:
+    """Ids in one merged set that the other lacks. Only buckets whose union is larger than the second set are opened."""
+    have = actual.select("bucket", F.col("bitmap").alias("_have"))
+    pairs = expected.select("bucket", F.col("bitmap").alias("_want")).join(have, "bucket", "left")
+    both = F.explode(F.filter(F.array("_want", "_have"), lambda b: b.isNotNull()))
+    union = pairs.select("bucket", "_want", "_have", both.alias("_one")).groupBy("bucket").agg(
+        F.bitmap_count(F.bitmap_or_agg("_one")).alias("_all"), F.any_value("_want").alias("_want"), F.any_value("_have").alias("_have")
+    )
+    open_ = union.where(F.col("_have").isNull() | (F.col("_all") > F.bitmap_count("_have")))
+
+    def bit(bitmap: str) -> str:
+        return f"(shiftright(conv(hex(substring({bitmap}, p DIV 8 + 1, 1)), 16, 10)::int, p % 8) & 1) = 1"
+
+    places = f"filter(sequence(0, {BITS - 1}), p -> {bit('_want')} AND (_have IS NULL OR NOT {bit('_have')}))"
+    opened = open_.select("bucket", F.explode(F.expr(places)).alias("_place"))
+    # Buckets from 1 on hold the ids from 1 upwards, those below hold the others downwards.
+    ids = F.when(F.col("bucket") > 0, (F.col("bucket") - 1) * BITS + F.col("_place") + 1).otherwise(F.col("bucket") * BITS - F.col("_place"))
+    return opened.select(ids.cast("bigint").alias(name))

@@ -150,6 +150,50 @@ def plan_rows(
     return D.resolve_columns(decoded, spec, profile, constants, keep)
 
 
+TAG = "schema_tag"
+
+
+def plan_mixed(
+    envelope: DataFrame, spec: TableSpec, schemas: dict[str, T.StructType], profile: str = "sql", *, max_bytes: int | None = None
+) -> DataFrame:
+    """Typed and schemaless records of one table in the same batch: ``_src``, ``_error`` and the table's columns.
+
+    ``value`` is a VARIANT, and ``schema_tag`` names the schema of a typed record, or is NULL. A record is typed where its
+    tag is one of ``schemas`` and its value an object, schemaless where it has no tag and its value is an object;
+    anything else (an unknown tag, no value, a value that is no object) has no converter. All kinds are read in one pass.
+    """
+    is_object = F.coalesce(F.schema_of_variant("value").startswith("OBJECT"), F.lit(False))
+    rows = envelope.select(
+        *[F.col(f.name) for f in D.ENVELOPE.fields if f.name != "value"],
+        F.to_json("value").cast("binary").alias("value"),
+        F.col("value").alias("_variant"),
+        F.when(~is_object, F.lit("none")).when(F.col(TAG).isNull(), F.lit("json")).otherwise(F.concat(F.lit("typed "), TAG)).alias("_kind"),
+    )
+    keep: tuple[str, ...] = ("_variant", "_kind")
+    results = []
+    for n, (kind, schema) in enumerate([("json", None), *((f"typed {t}", s) for t, s in schemas.items())]):
+        mine = F.col("_kind") == kind
+        if schema is None:
+            planned = plan_rows(rows, spec, profile, max_bytes=max_bytes, only="_kind = 'json'", keep=keep)
+        else:
+            typed = F.when(mine, F.try_variant_get("_variant", "$", schema.simpleString()))
+            decoded = D.decode_typed(rows.withColumn("_record", typed), spec, "_record", max_bytes, keep=(*keep, "_json"))
+            planned = D.resolve_columns(decoded, spec, profile, None, (*keep, "_json"))
+        own = F.struct(F.col(D.ERROR).alias("error"), *[col(c).alias(f"c{k}") for k, c in enumerate(spec.names)])
+        source = [F.col(f"{D.SRC}.{f.name}") for f in D.ENVELOPE.fields if f.name != "value"]
+        value = F.col(f"{D.SRC}.value" if schema is None else "_json").alias("value")
+        rows = planned.select(*source, value, value.alias("_json"), *[F.col(c) for c in keep], F.when(mine, own).alias(f"_kind_{n}"))
+        keep = (*keep, f"_kind_{n}")
+        results.append(F.col(f"_kind_{n}"))
+    found = F.coalesce(*results)
+    source = F.struct(*[F.col(f.name) for f in D.ENVELOPE.fields])
+    return rows.select(source.alias(D.SRC), found.alias("_found")).select(
+        D.SRC,
+        F.when(F.col("_found").isNull(), D.error(D.NO_CONVERTER)).otherwise(F.col("_found.error")).alias(D.ERROR),
+        *[F.col(f"_found.c{k}").alias(c) for k, c in enumerate(spec.names)],
+    )
+
+
 def row_column(table: str) -> str:
     """The struct that holds a table's columns where rows of several tables share a DataFrame."""
     return f"row_{table}"

@@ -38,15 +38,14 @@ def _digits(seed: int, field: int, count: int, record: Column) -> Column:
     return F.substring(F.concat(*blocks), 1, count)
 
 
-def random_log(spark: SparkSession, n: int, seed: int = 0, text_bytes: int = 100) -> DataFrame:
+def random_fields(record: Column, seed: int = 0, text_bytes: int = 100) -> list[Column]:
     """Eight columns of varied values. Each is a hash of record id and seed, so that runs and retries repeat."""
-    record = F.col("id")
     letters = F.transform(
         F.sequence(F.lit(1), F.lit(text_bytes)),
         lambda i: F.element_at(F.array(*[F.lit(c) for c in _LETTERS]), (_pick(seed, 100, 52, record, i) + 1).cast("int")),
     )
     lead = (_pick(seed, 1, 9, record) + 1).cast("string")
-    return spark.range(n).select(
+    return [
         record.cast("int").alias("colInteger"),
         (_pick(seed, 2, 9000, record) + 1000).alias("colBigint"),
         F.concat(lead, _digits(seed, 10, 28, record), F.lit("."), _digits(seed, 20, 9, record))
@@ -57,7 +56,12 @@ def random_log(spark: SparkSession, n: int, seed: int = 0, text_bytes: int = 100
         F.lit(True).alias("colBoolean"),
         (F.array_join(letters, "") if text_bytes else F.lit("")).alias("colText"),
         F.timestamp_seconds(_pick(seed, 6, 86400, record) + EPOCH_SECONDS).alias("colTimestamp"),
-    )
+    ]
+
+
+def random_log(spark: SparkSession, n: int, seed: int = 0, text_bytes: int = 100) -> DataFrame:
+    """Records 0..n-1 of :func:`random_fields`."""
+    return spark.range(n).select(*random_fields(F.col("id"), seed, text_bytes))
 
 
 _LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"

@@ -80,3 +80,20 @@ def replay_csv(spark: SparkSession, path: str, topic: str, n: int, multi_line: b
     payload = F.to_json(F.struct(*[col(c) for c in rows.columns]), {"ignoreNullFields": "false"})
     repeated = replay_rows(numbered.select("_seq", payload.alias("_value")), "_seq", rows.count(), n)
     return to_envelope(repeated, F.lit(topic), F.lit(0), F.col("message"), F.col("_value"))
+
+
+def replay_csv_stream(spark: SparkSession, path: str, topic: str, rows_per_batch: int, work: str, multi_line: bool = False) -> DataFrame:
+    """A CSV file as an endless stream, from the start again whenever it runs out: ``rows_per_batch`` records a trigger.
+
+    Spark's rate source numbers the records, so the checkpoint knows where to go on, and a batch that runs again is the
+    same; the rows, numbered once into the folder ``work``, are joined by number. Cells are read as by :func:`replay_csv`.
+    """
+    rows = read_csv(spark, path, "NULL", multi_line)
+    payload = F.to_json(F.struct(*[col(c) for c in rows.columns]), {"ignoreNullFields": "false"})
+    number_file_rows(rows).select("_seq", payload.alias("_value")).write.mode("overwrite").parquet(work)
+    numbered = spark.read.schema("_seq bigint, _value string").parquet(work)
+    count = numbered.count()
+    paced = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", rows_per_batch).load()
+    paced = paced.where("false") if count == 0 else paced
+    numbers = paced.select(F.col("value").alias("_number"), F.col("timestamp").alias("_at"), (F.col("value") % max(count, 1)).alias("_seq"))
+    return to_envelope(numbers.join(numbered, "_seq"), F.lit(topic), F.lit(0), F.col("_number"), F.col("_value"), F.col("_at"))

@@ -20,13 +20,15 @@ from pyspark.errors import (
     ParseException,
     SparkRuntimeException,
 )
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.names import col, quote
 from ..functions.types import SchemaError, TableSpec
 from ..operators import merge, offsets, route
+from ..operators.decode import ERROR, SRC
+from ..operators.metrics import observed
 from ..operators.quarantine import BatchFailed, enforce, whole_batch_dead
 from ..plans.ingest import BATCH_ID, IngestConfig, Script, plan_tables, row_column, tag_batch
 from ..session import configure
@@ -148,7 +150,7 @@ def run_script(
                     view = view.unionByName(batch)
                 view.createOrReplaceTempView(f"`{name}`")
                 views.append(name)
-            result = session.sql(script.text(batch_id))
+            result = _sql(session, script.text(batch_id))
         if script.target is None or result is None:
             return []
         known = {**config.tables, **config.targets}
@@ -169,6 +171,17 @@ def run_script(
             session.catalog.dropTempView(view)
 
 
+def _sql(session: SparkSession, text: str) -> DataFrame:
+    """A statement as it is written: parameters other than the batch id are the user's, not settings of the session."""
+    key = "spark.sql.variable.substitute"
+    before = session.conf.get(key)
+    session.conf.set(key, False)
+    try:
+        return session.sql(text)
+    finally:
+        session.conf.set(key, before)
+
+
 def merge_into_catalog(result: DataFrame, script: Script) -> None:
     """Merge a script's rows into a catalog table by its own row-level operation, which is one commit of that table.
 
@@ -195,7 +208,8 @@ def plan_stream(stream: DataFrame, config: IngestConfig) -> DataFrame:
 
     Under tolerance ``none`` a record that does not fit fails its batch as it is written.
     """
-    out = dealt(plan_tables(stream, config), config.tables)
+    planned = plan_tables(stream, config)
+    out = dealt(observed(planned, F.col(ERROR).isNotNull(), F.col(f"{SRC}.value")), config.tables)
     if config.tolerance == "none":
         where = F.concat_ws(" ", "_message", F.lit("(table"), "table", F.lit("topic"), "_topic", F.lit("offset"), F.col("_offset").cast("string"), F.lit(")"))
         out = out.withColumn("outcome", F.when(F.col("outcome") == "dead", F.raise_error(where)).otherwise(F.col("outcome")))

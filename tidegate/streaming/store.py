@@ -31,6 +31,7 @@ from ..operators.quarantine import BatchFailed, describe
 from ..plans.ingest import row_column
 
 PUBLISHED = "epoch string, version bigint, kind string, name string, path string, records bigint"
+_FIELDS = tuple(f.split()[0] for f in PUBLISHED.split(", "))
 #: Files a task keeps open at once; with more tables and outcomes its rows are sorted by them first.
 OPEN_FILES = 16
 DEAD_FIELDS = ("column", "declared_type", "reason")
@@ -86,10 +87,13 @@ def dealt(rows: DataFrame, tables: dict[str, TableSpec]) -> DataFrame:
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        self._published: list[Row] | None = None
 
     def using(self, spark: SparkSession) -> "TableStore":
         """The same store through another session (a micro-batch has its own)."""
-        return TableStore(spark, self.root)
+        other = TableStore(spark, self.root)
+        other._published = self._published
+        return other
 
     def _found(self, path: str, schema: str | T.StructType, **options) -> DataFrame | None:
         """The files under a path; None where nothing was ever written there."""
@@ -103,9 +107,11 @@ class TableStore:
     # --- what counts ---
 
     def published(self) -> list[Row]:
-        """All that batches published, oldest first: a few short rows per batch."""
-        rows = self._found(f"{self.root}/published", PUBLISHED, recursiveFileLookup=True)
-        return sorted(rows.collect(), key=lambda r: r["version"]) if rows is not None else []
+        """All that batches published, oldest first: a few short rows per batch, read once by a store, which is its table's one writer."""
+        if self._published is None:
+            rows = self._found(f"{self.root}/published", PUBLISHED, recursiveFileLookup=True)
+            self._published = sorted(rows.collect(), key=lambda r: r["version"]) if rows is not None else []
+        return self._published
 
     def committed(self, epoch: str) -> bool:
         return any(r["epoch"] == epoch for r in self.published())
@@ -116,6 +122,7 @@ class TableStore:
         version = known[-1]["version"] + 1 if known else 0
         made = [(epoch, version, c.kind, c.name, c.path, c.records) for c in changes] or [(epoch, version, "empty", "", "", 0)]
         self.spark.createDataFrame(made, PUBLISHED).coalesce(1).write.mode("overwrite").parquet(f"{self.root}/published/{epoch}")
+        known += [Row(*_FIELDS)(*row) for row in made]  # shared with the stores of other sessions
 
     def _paths(self, kind: str, name: str) -> list[str]:
         return [r["path"] for r in self.published() if r["kind"] == kind and r["name"] == name]

@@ -7,12 +7,11 @@ as in ``word_bpe_49k.json``; tests hold the result to the library's own on arbit
 from __future__ import annotations
 
 import re
+import struct
 from functools import cache
 from unicodedata import normalize
 
-import numpy as np
-
-#: Words, and as many stems, that a worker remembers before it starts afresh: about 200 bytes each.
+#: Words, and as many stems, that a worker has at hand before it puts them aside (and forgets what was aside): about 150 bytes each.
 REMEMBERED = 250_000
 _TAIL = re.compile(rb"(.*[A-Za-z0-9\x80-\xff])([!-/:-@\[-`{-~]+)", re.DOTALL)
 _LATIN_END = "ɐ"
@@ -25,15 +24,25 @@ def _byte_alphabet() -> dict[int, int]:
     return {b: 256 + k for k, b in enumerate(rest)}
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class _Remembered(dict):
+    """Results of a function in two generations: what is asked for again is found in the older one, and lives on."""
+
     def __init__(self, of, most: int):
         super().__init__()
-        self.of, self.most = of, most
+        self.of, self.most, self.aside = of, most, {}
 
-    def __missing__(self, key: bytes) -> bytes:
+    def __missing__(self, key):
         if len(self) >= self.most:
+            self.aside = dict(self)
             self.clear()
-        found = self[key] = self.of(key)
+        found = self.aside.get(key)
+        if found is None:
+            found = self.of(key)
+        self[key] = found
         return found
 
 
@@ -49,18 +58,22 @@ class WordEncoder:
 
     def _word(self, word: bytes) -> bytes:
         """A word and the punctuation after its last letter encode independently, unless it holds a special token."""
+        if word.isalpha():  # ASCII letters only
+            return self.parts[word.lower()]
         if b"<|" not in word and (m := _TAIL.fullmatch(word)) and (m[1][-1] < 128 or m[1].decode("utf-8")[-1].lower().isalpha()):
             return self.parts[m[1].lower()] + self.parts[m[2]]
         return self.parts[word]
 
     def _part(self, part: bytes) -> bytes:
+        if part.isalpha():
+            return _packed([t.id for t in self.model.tokenize(part.decode().lower())])
         text = part.decode("utf-8")
         if max(text) < _LATIN_END:
             low = normalize("NFC", text).lower()
             if low.isalpha():  # one stretch of letters: the model alone, without the search for its borders
                 written = low.encode("utf-8").decode("latin-1").translate(self.alphabet)
-                return np.array([t.id for t in self.model.tokenize(written)], "<u4").tobytes()
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+                return _packed([t.id for t in self.model.tokenize(written)])
+        return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def encode(self, text: bytes) -> bytes:
         return b"".join(map(self.words.__getitem__, text.split()))

@@ -1,11 +1,16 @@
 """SentencePiece encoding and decoding as a weighted finite-state transducer.
 
 Three machines are compiled from the model file and composed with each input: the normaliser (dummy prefix, spaces to
-the space sign), the pieces with byte fallback (an arc for each piece over its characters, and for a character in no
-piece an arc to its bytes), and a machine over pieces that lets ``b`` follow ``a`` only where merging their joint text
-gives back ``a b``. The last is what makes paths of the lattice agree with merges by score: a sequence of pieces is the
-model's encoding exactly when all its neighbours may follow one another. Arcs cost one each in the tropical semiring,
-and the shortest path is taken; with the third machine in place one path is left to take.
+the space sign); the pieces with byte fallback, as an automaton that finds every arc over a text in one walk (an arc for
+each piece, and for a character in no piece an arc to its bytes); and, for a model of merges, a machine over pieces that
+lets ``b`` follow ``a`` only where merging their joint text gives back ``a b``. Arcs are weighted in the tropical
+semiring and the shortest path is taken, its states being a place in the text and the piece before it.
+
+A unigram model's arcs weigh the negative score of their piece, and the third machine lets everything pass. In a model of
+merges arcs weigh one each. There a path whose neighbours may all follow one another is the model's encoding, and there is
+only one: merging goes by score alone, so a merge across the border of two pieces that comes before their own would also
+come first in their joint text, and no sum of weights could tell. One state for each place is then enough; tests hold the
+result to the library's on arbitrary text for both kinds.
 
 Compositions are made per stretch of text between places that no piece spans, and remembered.
 """
@@ -16,17 +21,22 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
+from operator import add
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import text_of
+from .tokens import _packed, _Remembered
 
 SPACE_SIGN = "▁"
-#: Stretches a worker remembers before it starts afresh.
-REMEMBERED = 400_000
+#: Words, and as many stretches of text, that a worker has at hand before it puts them aside.
+REMEMBERED = 200_000
+#: What a character in no piece weighs beyond the worst piece of a unigram model.
+_UNKNOWN = 10.0
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -62,7 +72,11 @@ class Transducer:
         from sentencepiece import SentencePieceProcessor
 
         model = SentencePieceProcessor(model_file=path)
-        normaliser = dict(_fields(next(v for k, v in _fields(model.serialized_model_proto()) if k == 3)))
+        parts = {k: v for k, v in _fields(model.serialized_model_proto()) if k in (2, 3)}
+        normaliser, trainer = dict(_fields(parts[3])), dict(_fields(parts.get(2, b"")))
+        self.unigram = trainer.get(3, 1) == 1
+        if not self.unigram and trainer[3] != 2:
+            raise ValueError("only unigram models and models of merges are supported")
         if normaliser.get(2) or normaliser.get(4, 1):
             raise ValueError("only models whose normaliser changes nothing but spaces are supported")
         self.prefix = SPACE_SIGN if normaliser.get(3, 1) else ""
@@ -81,14 +95,24 @@ class Transducer:
                 self.piece_ids[piece] = i
                 self.text[i] = piece
                 self.output[i] = piece.replace(SPACE_SIGN, " ").encode()
-        #: The machine of pieces: each beginning of a piece, with the piece's id where it is a whole one.
-        self.arcs = {p[:k]: -1 for p in self.piece_ids for k in range(1, len(p))} | self.piece_ids
+        worst = min((self.scores[i] for i in self.piece_ids.values()), default=0.0)
+        #: The machine of pieces: over a text it gives the end of every arc, its piece, length and weight.
+        self.arcs = ahocorasick.Automaton()
+        for p, i in self.piece_ids.items():
+            self.arcs.add_word(p, (i, len(p), -self.scores[i] if self.unigram else 1))
+        self.arcs.make_automaton()
+        self.fallback = _UNKNOWN - worst if self.unigram else 1
+        self.single = {p for p in self.piece_ids if len(p) == 1}
         inside = {p[k : k + 2] for p in self.piece_ids for k in range(len(p) - 1)}
         self.whole_words = not any(x[1] == SPACE_SIGN != x[0] for x in inside)
-        self.inside, self.remembered = inside, remembered
-        self.follows: dict[tuple[int, int], bool] = {}
-        self.words: dict[str, bytes] = {}
-        self.stretches: dict[str, bytes] = {}
+        self.inside = inside
+        #: How texts are cut before anything is looked up: nowhere, before spaces, or also around Latin letters.
+        self.cut = None
+        if self.whole_words:
+            mixed = any(bool(_LETTER.match(a)) != bool(_LETTER.match(b)) for a, b in inside if a != SPACE_SIGN)
+            self.cut = _WORD if mixed else _STRETCH
+        self.follows = _Remembered(self._may_follow, remembered)
+        self.words, self.stretches = _Remembered(self._word, remembered), _Remembered(self._stretch, remembered)
 
     def normalise(self, text: str) -> str:
         return self.prefix + text.replace(" ", SPACE_SIGN) if text else ""
@@ -107,64 +131,60 @@ class Transducer:
             k = best[1]
             parts[k : k + 2] = [parts[k] + parts[k + 1]]
 
-    def _may_follow(self, a: int, b: int) -> bool:
-        known = self.follows.get((a, b))
-        if known is None:
-            if len(self.follows) >= self.remembered:
-                self.follows.clear()
-            x, y = self.text[a], self.text[b]
-            known = self.follows[a, b] = self.merged(x + y) == [x, y]
-        return known
+    def _may_follow(self, pair: tuple[int, int]) -> bool:
+        x, y = self.text[pair[0]], self.text[pair[1]]
+        return self.merged(x + y) == [x, y]
 
     def shortest_path(self, text: str) -> list[int]:
         """Ids along the cheapest path of the composition with one stretch."""
-        n, arcs, follow = len(text), self.arcs, self._may_follow
-        cost = [0] + [n * 8] * n
-        last = [-1] * (n + 1)  # the piece before a state; bytes and the start are -1 and may precede all
-        back = [-1] * (n + 1)
-        for start in range(n):
-            so_far, before = cost[start] + 1, last[start]
-            if start and back[start] < 0:
-                continue
-            for end in range(start + 1, n + 1):
-                piece = arcs.get(text[start:end])
-                if piece is None:  # no piece goes on like this
-                    break
-                if piece >= 0 and so_far < cost[end] and (before < 0 or follow(before, piece)):
-                    cost[end], last[end], back[end] = so_far, piece, start
-            if arcs.get(text[start], -1) < 0:
-                size = len(text[start].encode())
-                if so_far - 1 + size < cost[start + 1]:
-                    cost[start + 1], last[start + 1], back[start + 1] = so_far - 1 + size, -1, start
+        n, follow, free = len(text), self.follows, self.unigram
+        cost = [float("inf")] * (n + 1)
+        cost[0] = 0
+        last = [-1] * (n + 1)  # the piece before a place; bytes and the start are -1 and may precede all
+        back = [0] * (n + 1)
+        bare = [] if self.single.issuperset(text) else [k for k, c in enumerate(text) if c not in self.single]
+        at = 0  # of the characters that no piece stands for alone, the first whose arc to bytes is not yet taken
+        for end, (piece, size, weight) in self.arcs.iter(text):
+            start = end + 1 - size
+            while at < len(bare) and bare[at] < start:
+                self._to_bytes(text, bare[at], cost, last, back)
+                at += 1
+            so_far = cost[start] + weight
+            if so_far < cost[end + 1]:
+                before = last[start]
+                if before < 0 or free or follow[before, piece]:
+                    cost[end + 1], last[end + 1], back[end + 1] = so_far, piece, start
+        for k in bare[at:]:
+            self._to_bytes(text, k, cost, last, back)
         path, end = [], n
         while end:
             path.append([last[end]] if last[end] >= 0 else [self.byte_ids[b] for b in text[back[end] : end].encode()])
             end = back[end]
         return [i for x in reversed(path) for i in x]
 
+    def _to_bytes(self, text: str, at: int, cost: list, last: list, back: list) -> None:
+        weight = self.fallback if self.unigram else len(text[at].encode())
+        if cost[at] + weight < cost[at + 1]:
+            cost[at + 1], last[at + 1], back[at + 1] = cost[at] + weight, -1, at
+
     def _stretch(self, text: str) -> bytes:
-        found = self.stretches.get(text)
-        if found is None:
-            if len(self.stretches) >= self.remembered:
-                self.stretches.clear()
-            found = self.stretches[text] = np.array(self.shortest_path(text), "<u4").tobytes()
-        return found
+        return _packed(self.shortest_path(text))
 
     def _word(self, word: str) -> bytes:
-        found = self.words.get(word)
-        if found is None:
-            if len(self.words) >= self.remembered:
-                self.words.clear()
-            cuts = [0, *(k for k in range(1, len(word)) if word[k - 1 : k + 1] not in self.inside), len(word)]
-            found = self.words[word] = b"".join(self._stretch(word[a:b]) for a, b in zip(cuts, cuts[1:]))
-        return found
+        inside, found, start = self.inside, [], 0
+        for k, pair in enumerate(map(add, word, word[1:]), 1):
+            if pair not in inside:
+                found.append(self.stretches[word[start:k]])
+                start = k
+        found.append(self.stretches[word[start:]])
+        return b"".join(found)
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit numbers."""
         text = self.normalise(text)
-        if not self.whole_words:
+        if self.cut is None:
             return self._word(text)
-        return b"".join(map(self._word, _WORD.findall(text)))
+        return b"".join(map(self.words.__getitem__, self.cut.findall(text)))
 
     def decode(self, ids: bytes) -> str:
         """The text of ids: pieces and bytes joined, without the dummy prefix; bytes that are no text become U+FFFD."""
@@ -173,7 +193,10 @@ class Transducer:
         return text[1:] if self.prefix and text[:1] == " " else text
 
 
+_LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
+_LETTER = re.compile(f"[{_LATIN}]")
 _WORD = re.compile(f"{SPACE_SIGN}+[^{SPACE_SIGN}]*|[^{SPACE_SIGN}]+")
+_STRETCH = re.compile(f"{SPACE_SIGN}*[{_LATIN}]+|{SPACE_SIGN}*[^{_LATIN}{SPACE_SIGN}]+|{SPACE_SIGN}+")
 
 
 @cache

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -157,7 +158,7 @@ def test_html_blocks():
     <section id=comments><p>{stop}</p></section><form>{stop}</form><footer>&copy; me</footer>"""
     clean = stop.strip()
     assert html.main_text(page) == f"{clean}\nShort & sweet.\n{clean}"
-    assert html.main_text("<article><h1>A  title</h1>one<br>two<p>x&nbsp;&lt;b&gt;</article><div>" + stop) == "A title\none two\nx <b>"
+    assert html.main_text("<article><h1>A  title</h1>one<br>two<p>x&nbsp;&lt;b&gt;</article><div>some words<div>" + stop) == f"A title\none two\nx <b>\n{clean}"
     assert html.main_text("<!-- <p>no") == "" and html.main_text("a < b and <unclosed 'quote>") == ""
 
 
@@ -171,6 +172,47 @@ def test_html_of_the_pages(spark):
         assert r.text.split() == words
 
 
+def _paragraphs(page):
+    """Texts of the marked article's paragraphs and headline."""
+    inner = re.search(r"<article>(.*?)</article>", page, re.DOTALL)[1]
+    texts = (" ".join(re.sub(r"<[^>]*>", "", x.replace("<br>", " ")).replace("&amp;", "&").split()) for x in re.split(r"</?(?:p|h1)>", inner))
+    return collections.Counter(t for t in texts if t)
+
+
+@pytest.mark.parametrize("form", ["marked", "no article", "no marks"])
+def test_html_rules_find_the_article_without_its_mark(spark, form):
+    wanted = found = hit = 0
+    for r in table(spark, "/root/testdata/sf0.01", "pages").collect():
+        page = r.html
+        if form != "marked":
+            page = re.sub("(</?)article>", r"\1div>", page)
+        if form == "no marks":
+            page = re.sub("(</?)(nav|footer)>", r"\1div>", page.replace(' class="ad"', ""))
+        want, got = _paragraphs(r.html), collections.Counter(html.main_text(page).split("\n"))
+        size = lambda c: sum(len(k) * n for k, n in c.items())
+        wanted, found, hit = wanted + size(want), found + size(got), hit + size(want & got)
+    assert hit / wanted > 0.95 and 1 - hit / found < 0.05
+
+
+@pytest.mark.parametrize("part", ["<script ", '<div x="', "<a 'b\"", "<!--", "</script ", "<style>", "<div x=\"'>", "<p "])
+def test_html_of_unfinished_markup_takes_linear_time(part):
+    for tail in ("", ">", "'>", '">'):
+        start = time.process_time()
+        html.main_text(part * (1_000_000 // len(part)) + tail)
+        assert time.process_time() - start < 3  # a twentieth of that as a rule; 32 KB took 20 seconds by backtracking
+    assert html.main_text("<script >x</script ><p>a</p>" + part) == ""  # short text alone is no article
+
+
+def test_html_walk_is_the_plain_one():
+    """On finished markup the walk finds what a pattern finds."""
+    tag = re.compile(r"<!--.*?-->|<([!?])[^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.DOTALL)
+    rng = random.Random(4)
+    parts = ["<p>", "</p>", '<a href="x>y">', "<b class='\"'>", "text ", "< ", "<!-- <p> -->", "<!doctype x>", "<br/>", "a > b", "<é>"]
+    for _ in range(500):
+        page = "".join(rng.choice(parts) for _ in range(12))
+        assert [(s, e, end, name, a) for s, e, end, name, a in html.tags(page)] == [(m.start(), m.end(), m[2] or "", (m[3] or "").lower(), m[4] or "") for m in tag.finditer(page)]
+
+
 def test_transducer_is_the_library(spark, texts):
     from sentencepiece import SentencePieceProcessor
 

@@ -60,7 +60,8 @@ def op8_suffix_array_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op9_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
-    return quality_rules(table(spark, sf, "documents")).drop("distance")
+    judged = quality_rules(table(spark, sf, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def op10_line_dedup(spark: SparkSession, sf: str) -> DataFrame:

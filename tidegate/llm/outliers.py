@@ -120,9 +120,9 @@ def _transformed() -> list[Column]:
     return [F.floor(v * _UNIT + 0.5).cast("long").alias(x) for v, x in zip(values, _X, strict=True)]
 
 
-def _near(rows: DataFrame, small: DataFrame) -> DataFrame:
-    """Rows with their stratum's estimate."""
-    return rows.join(F.broadcast(small) if small.count() <= _BROADCAST_STRATA else small, "stratum")
+def _near(rows: DataFrame, small: DataFrame, n: int | None = None) -> DataFrame:
+    """Rows with their stratum's estimates, of which there are ``n`` (counted where it is not known)."""
+    return rows.join(F.broadcast(small) if (small.count() if n is None else n) <= _BROADCAST_STRATA else small, "stratum")
 
 
 def _distance(rows: DataFrame) -> DataFrame:
@@ -193,9 +193,9 @@ class Estimator:
         sums = parts.unionByName(parts.withColumn("start", F.lit(1)))  # both halves together are all rows
         return by_median.unionByName(self.moments(sums, ["stratum", "parent", "start"], target).withColumn("start", F.col("start").cast("int")))
 
-    def concentrate(self, rows: DataFrame, estimate: DataFrame, target: DataFrame | None) -> DataFrame:
-        """One step of every stratum and start: the nearest rows, by whole distance bins, give the next estimate."""
-        apart = _distance(_near(rows.drop("parent"), estimate)).withColumn("bin", F.floor(F.log1p(F.least("d2", F.lit(1e12))) * 32))
+    def concentrate(self, rows: DataFrame, estimate: DataFrame, target: DataFrame | None, n: int) -> DataFrame:
+        """One step of ``n`` estimates of strata and starts: the nearest rows, by whole distance bins, give the next estimate."""
+        apart = _distance(_near(rows.drop("parent"), estimate, n)).withColumn("bin", F.floor(F.log1p(F.least("d2", F.lit(1e12))) * 32))
         bins = apart.groupBy("stratum", "parent", "start", "bin").agg(*_sums())
         nearer = Window.partitionBy("stratum", "start").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
         share = bins.withColumn("before", F.coalesce(F.sum("n").over(nearer), F.lit(0))).withColumn("all", F.sum("n").over(Window.partitionBy("stratum", "start")))
@@ -204,17 +204,18 @@ class Estimator:
     def estimates(self, rows: DataFrame, target: DataFrame | None = None) -> DataFrame:
         """Robust means and Cholesky factors per ``stratum`` from its rows ``x*``; ``parent`` names its stratum in ``target``."""
         volume = F.expr(" * ".join(f"l{i}{i}" for i in range(_DIM)))
-        best = stage(self.starts(rows, target).withColumn("volume", F.lit(float("inf"))), "mcd-start")
-        now = best
-        while True:
-            now = stage(self.concentrate(rows, now.drop("volume"), target).withColumn("volume", volume), "mcd-step")
-            packed = f"struct(parent, {', '.join(_COLUMNS)}, volume)"
-            both = best.selectExpr("stratum", "start", f"{packed} AS old").join(now.selectExpr("stratum", "start", f"{packed} AS new"), ["stratum", "start"])
-            falls = F.col("new.volume") < F.col("old.volume") * (1 - SETTLED)
-            best = stage(both.select("stratum", "start", F.when(falls, F.col("new")).otherwise(F.col("old")).alias("e"), falls.alias("fell")).select("stratum", "start", "e.*", "fell"), "mcd-best")
-            if best.filter("fell").isEmpty():  # every round that goes on lowers a determinant, and they have a lower bound
-                break
-            best = best.drop("fell")
+        packed = f"struct(parent, {', '.join(_COLUMNS)}, volume)"
+        state = self.starts(rows, target).withColumn("volume", F.lit(float("inf")))
+        state = stage(state.selectExpr("stratum", "start", f"{packed} AS now", f"{packed} AS best", "true AS fell"), "mcd-start")
+        # A round is one written table; only estimates whose determinant still falls take another step. Every round lowers a
+        # determinant, and they have a lower bound.
+        while falling := state.agg(F.count_if("fell").alias("n")).first()["n"]:
+            step = self.concentrate(rows, state.filter("fell").select("stratum", "start", *(f"now.{c}" for c in ("parent", *_COLUMNS))), target, falling)
+            step = step.withColumn("volume", volume).selectExpr("stratum", "start", f"{packed} AS new")
+            both = state.join(step, ["stratum", "start"], "left")
+            falls = F.coalesce(F.col("new.volume") < F.col("best.volume") * (1 - SETTLED), F.lit(False))
+            state = stage(both.select("stratum", "start", F.coalesce("new", "now").alias("now"), F.when(falls, F.col("new")).otherwise(F.col("best")).alias("best"), falls.alias("fell")), "mcd-step")
+        best = state.select("stratum", "start", "best.*")
         won = stage(best.groupBy("stratum").agg(F.min_by(F.struct("parent", *_COLUMNS), F.struct("volume", "start")).alias("e")).select("stratum", "e.*"), "mcd-won")
         raw, near = _consistency(COVERAGE), 0.975
         weighed = _distance(_near(rows.drop("parent"), won)).withColumn("near", F.col("d2") / raw <= _chi2_quantile(near, _DIM))

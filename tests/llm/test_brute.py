@@ -8,6 +8,7 @@ import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import xxhash
@@ -254,15 +255,8 @@ def test_suffix_arrays(monkeypatch):
             assert shared[b] == min(8, n)
 
 
-def test_substring_dedup_against_all_windows(spark, monkeypatch):
-    monkeypatch.setattr(substring_dedup, "CHUNK_BYTES", 1500)
-    rng = random.Random(5)
-    base = ["".join(rng.choice("abé\n ") for _ in range(rng.randint(30, 300))) for _ in range(12)]
-    docs = []
-    for i in range(80):
-        t = "".join(rng.choice(base)[rng.randint(0, 60) :] if rng.random() < 0.6 else "".join(rng.choice("xyzü ") for _ in range(rng.randint(0, 120))) for _ in range(rng.randint(0, 4)))
-        docs.append((i, "a" * rng.randint(40, 400) if i % 10 == 0 else docs[-1][1] if i % 10 == 9 else t))
-    docs += [(80, None), (None, base[0] * 2), (81, docs[3][1]), (81, docs[3][1]), (81, docs[5][1]), (None, docs[7][1])]
+def all_windows(docs):
+    """What is left of each text by a table of all its windows."""
     first = {}
     for i, t in docs:
         b = (t or "").encode()
@@ -277,8 +271,64 @@ def test_substring_dedup_against_all_windows(spark, monkeypatch):
                 gone[p : p + 50] = b"\1" * 50
         kept = bytes(x for x, y in zip(b, gone) if not y)
         want.append((i or -1, len(b), sum(gone), len(re.findall(b"\1+", bytes(gone))), kept, None if t is None else kept.decode("utf-8", "ignore")))
-    out = substring_dedup.substring_dedup(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()
-    assert sorted(map(str, want)) == sorted(str((r.doc_id or -1, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept_bytes), r.text)) for r in out)
+    return sorted(map(str, want))
+
+
+def left(spark, docs, parts=3):
+    out = substring_dedup.substring_dedup(spark.createDataFrame(docs, "doc_id long, text string").repartition(parts)).collect()
+    return sorted(str((r.doc_id or -1, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept_bytes), r.text)) for r in out)
+
+
+def test_substring_dedup_against_all_windows(spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "CHUNK_BYTES", 1500)
+    rng = random.Random(5)
+    base = ["".join(rng.choice("abé\n ") for _ in range(rng.randint(30, 300))) for _ in range(12)]
+    docs = []
+    for i in range(80):
+        t = "".join(rng.choice(base)[rng.randint(0, 60) :] if rng.random() < 0.6 else "".join(rng.choice("xyzü ") for _ in range(rng.randint(0, 120))) for _ in range(rng.randint(0, 4)))
+        docs.append((i, "a" * rng.randint(40, 400) if i % 10 == 0 else docs[-1][1] if i % 10 == 9 else t))
+    docs += [(80, None), (None, base[0] * 2), (81, docs[3][1]), (81, docs[3][1]), (81, docs[5][1]), (None, docs[7][1])]
+    assert left(spark, docs) == all_windows(docs)
+
+
+def phrase_in_many(n):
+    """A phrase in ever different surroundings, some of which two texts share."""
+    rng, phrase = random.Random(8), "please read the terms of this page before you go on with it"
+    around = lambda: "".join(rng.choice("abcdefgh ") for _ in range(70))
+    docs = [(i, around() + phrase + around()) for i in range(n)]
+    return docs + [(n + i, around() + t[40 + i % 30 : 140 + i % 50]) for i, t in docs[::7]]
+
+
+def test_substring_dedup_deals_a_hot_phrase_over_shards(spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "SHARD_BYTES", 4000)  # 50 different stretches
+    docs = phrase_in_many(700)
+    assert left(spark, docs, 5) == all_windows(docs)
+
+
+def test_substring_dedup_shards_stay_small():
+    docs = phrase_in_many(10_000)
+    limit, shards, chunks = 200, 16, []
+    for c in range(0, len(docs), 500):
+        texts = [t.encode() for _, t in docs[c : c + 500]]
+        columns = [np.array([i for i, _ in docs[c : c + 500]], np.int64), np.array([len(t) for t in texts], np.int64)]
+        chunks.append((c, columns[0].tobytes(), columns[1].tobytes(), b"".join(texts)))
+
+    def batch(rows, names):
+        return pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in rows])
+
+    hashes = pa.Table.from_batches(substring_dedup._send_hashes(1)(iter([batch([(c, n, t) for c, _, n, t in chunks], ["chunk", "sizes", "text"])])))
+
+    def largest(limit):
+        shared = {r["chunk"]: r for r in substring_dedup._shared_hashes(limit)(hashes).to_pylist()}
+        met = [(*c, [shared[c[0]]["bucket"]], [shared[c[0]]["hashes"]], [shared[c[0]]["hot"]]) for c in chunks if c[0] in shared]
+        sent = substring_dedup._send_stretches(1, shards)(iter([batch(met, ["chunk", "ranks", "sizes", "text", "names", "shared", "hot"])]))
+        total = collections.Counter()
+        for b in sent:
+            for r in b.to_pylist():
+                total[r["shard"]] += len(r["text"])
+        return max(total.values())
+
+    assert largest(limit) < 0.2 * largest(10**9)
 
 
 def test_quality_statistics_and_estimates(spark, texts):

@@ -6,6 +6,7 @@ from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DataType, StringType
 
 #: Characters that separate words, as a regular expression class body.
 SPACE = r"\x20\x09-\x0D"
@@ -33,10 +34,19 @@ def text_of(column: str | Column) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 
 
-#: A staged table of at most so many (narrow) rows is broadcast; larger ones are joined by shuffling.
-BROADCAST_ROWS = 500_000
+#: A staged table of at most so many rows and bytes of values is broadcast; larger ones are joined by shuffling.
+BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 64_000_000
 
 
-def bounded(staged: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The same table, marked for broadcast where a count shows that it is small enough."""
-    return F.broadcast(staged) if staged.count() <= rows else staged
+def _bytes(name: str, of: DataType) -> Column:
+    """About how many bytes a value takes; elements of an array are counted as structs of numbers."""
+    if isinstance(of, (StringType, BinaryType)):
+        return 8 + F.coalesce(F.octet_length(name), F.lit(0))
+    return 8 + 32 * F.greatest(F.size(name), F.lit(0)) if isinstance(of, ArrayType) else F.lit(8)
+
+
+def bounded(staged: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """The same table, marked for broadcast where a count of its rows and bytes shows that it is small enough."""
+    width = sum((_bytes(f"`{f.name}`", f.dataType) for f in staged.schema), F.lit(0)).cast("long")
+    found = staged.agg(F.count("*").alias("n"), F.sum(width).alias("size")).first()
+    return F.broadcast(staged) if found["n"] <= rows and (found["size"] or 0) <= size else staged

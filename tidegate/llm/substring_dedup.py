@@ -3,7 +3,9 @@
 Every window of 50 bytes is dealt by the smallest hash of its 20-byte strings, so equal windows meet in one shard, and
 neighbouring windows mostly stay together as one stretch of text. Only stretches whose hash occurs in two documents are
 sent. A shard joins its stretches to one text, sorts the suffixes by induced sorting, and takes permuted common prefixes;
-suffixes that share 50 bytes form a class, and all but those of its smallest id are marked.
+suffixes that share 50 bytes form a class, and all but those of its smallest id are marked. A phrase in very many different
+surroundings would fill one shard; windows of a hash with more different stretches than a shard holds are dealt by a hash
+of all their 50 bytes instead.
 
 Documents travel in chunks of about a megabyte, hashes in buckets per chunk with repeats combined, stretches with
 equal ones of a chunk combined; identical documents are settled by their digests beforehand. So a text or passage with
@@ -31,6 +33,8 @@ CHUNK_BYTES = 1_000_000
 #: Bytes of text per bucket of hashes, and per shard of stretches.
 BUCKET_BYTES, SHARD_BYTES = 32_000_000, 4_000_000
 LEAST_PARTS = 64
+#: Shards of such windows for each other shard: alone, the windows of a stretch have so many times its bytes.
+SPREAD = 20
 #: Windows of one stretch at most.
 STRETCH = 250
 _LAST = 2**63 - 1
@@ -63,12 +67,13 @@ def _anchor_hashes(data: np.ndarray) -> np.ndarray:
     return out * _STEP[1]
 
 
-def stretches(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, first window and number of windows of each stretch of the joined documents that begin at ``starts``."""
+def stretches(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, first window and number of windows of each stretch of the joined documents that begin at ``starts``; the hash of each ``ANCHOR`` bytes."""
     n = len(data)
     if n < WINDOW:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    least, span = _anchor_hashes(data), 1
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    anchors, span = _anchor_hashes(data), 1
+    least = anchors
     width = WINDOW - ANCHOR + 1
     while span * 2 <= width:
         least = np.minimum(least[:-span], least[span:])
@@ -94,7 +99,17 @@ def stretches(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndar
         which = np.repeat(np.arange(len(first)), parts)
         nth = np.arange(len(which)) - np.repeat(np.cumsum(parts) - parts, parts)
         first, count = first[which] + nth * STRETCH, np.minimum(count[which] - nth * STRETCH, STRETCH)
-    return least[first], first, count
+    return least[first], first, count, anchors
+
+
+def _whole_hash(anchors: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """A hash of stretches: of all bytes of those that have one anchor in common, of both ends and the length of longer ones."""
+    last = first + count - 1 + WINDOW - ANCHOR
+    out = count.astype(np.uint64)
+    for at, step in zip((first, first + ANCHOR, last - ANCHOR, last), _STEP[:4], strict=True):
+        out = (out ^ anchors[at]) * step
+        out ^= out >> np.uint64(29)
+    return out
 
 
 def _short(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -144,20 +159,24 @@ def _send_hashes(buckets: int):
         for b in batches:
             for chunk, sizes, text in zip(*(b.column(k) for k in range(3)), strict=True):
                 starts, data = _opened(sizes.as_py(), text.as_py())
-                hashes, first, _ = stretches(data, starts)
+                hashes, first, count, anchors = stretches(data, starts)
                 doc = np.searchsorted(starts, first, side="right") - 1
                 bucket, short = _short(hashes, buckets)
                 key = (bucket << np.uint64(32)) | short
-                order = np.argsort(key, kind="stable")
-                key, doc = key[order], doc[order]
+                whole = _whole_hash(anchors, first, count)
+                order = np.lexsort((whole, key))
+                key, doc, whole = key[order], doc[order], whole[order]
                 new = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
                 if not len(new):
                     continue
                 several = np.minimum.reduceat(doc, new) != np.maximum.reduceat(doc, new)
+                different = np.add.reduceat(np.r_[True, (key[1:] != key[:-1]) | (whole[1:] != whole[:-1])].astype(np.int64), new)
+                # eighths of a power of two: one stretch is zero, as it is for most
+                kinds = np.ceil(8 * np.log2(different)).astype(np.uint8)
                 key = key[new]
-                rows = [(k, (key[s] & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes(), np.packbits(several[s]).tobytes()) for k, s in _grouped((key >> np.uint64(32)).astype(np.int64))]
-                k, h, m = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array([chunk.as_py()] * len(k), pa.int64()), pa.array(h, pa.binary()), pa.array(m, pa.binary())], ["bucket", "chunk", "hashes", "several"])
+                rows = [(k, (key[s] & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes(), np.packbits(several[s]).tobytes(), kinds[s].tobytes()) for k, s in _grouped((key >> np.uint64(32)).astype(np.int64))]
+                k, h, m, d = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array([chunk.as_py()] * len(k), pa.int64()), pa.array(h, pa.binary()), pa.array(m, pa.binary()), pa.array(d, pa.binary())], ["bucket", "chunk", "hashes", "several", "kinds"])
 
     return part
 
@@ -169,21 +188,42 @@ def _among(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     return ordered[np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)] == values
 
 
-def _shared_hashes(table: pa.Table) -> pa.Table:
-    """Of one bucket, per chunk: the hashes that occur in two documents."""
-    rows = [np.frombuffer(h.as_py(), np.uint32) for h in table.column("hashes")]
-    several = [np.unpackbits(np.frombuffer(m.as_py(), np.uint8), count=len(r)).astype(bool) for m, r in zip(table.column("several"), rows, strict=True)]
-    everything = np.sort(np.concatenate(rows))
-    twice = everything[1:][everything[1:] == everything[:-1]]
-    found = [r[m | _among(r, twice)] for r, m in zip(rows, several, strict=True)]
-    keep = [i for i, f in enumerate(found) if len(f)]
-    return pa.table(
-        {
-            "chunk": pa.array([table.column("chunk")[i].as_py() for i in keep], pa.int64()),
-            "bucket": pa.array([table.column("bucket")[i].as_py() for i in keep], pa.int32()),
-            "hashes": pa.array([found[i].tobytes() for i in keep], pa.binary()),
-        }
-    )
+def _hot(ordered: np.ndarray, rows: list[np.ndarray], kinds: list[np.ndarray], limit: int) -> np.ndarray:
+    """Hashes with more different stretches than ``limit``, the chunks' numbers added; ordered."""
+    cut = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
+    known, total = ordered[cut], np.diff(np.r_[cut, len(ordered)]).astype(np.float64)  # one from each chunk
+    for row, kind in zip(rows, kinds, strict=True):
+        more = np.flatnonzero(kind)
+        total[np.searchsorted(known, row[more])] += 2.0 ** (kind[more] / 8) - 1
+    return known[total > limit]
+
+
+def _shared_hashes(limit: int):
+    """Of one bucket, per chunk: the hashes that occur in two documents, and which of them have too many different stretches."""
+
+    def bucket(table: pa.Table) -> pa.Table:
+        rows = [np.frombuffer(h.as_py(), np.uint32) for h in table.column("hashes")]
+        several = [np.unpackbits(np.frombuffer(m.as_py(), np.uint8), count=len(r)).astype(bool) for m, r in zip(table.column("several"), rows, strict=True)]
+        everything = np.sort(np.concatenate(rows))
+        twice = everything[1:][everything[1:] == everything[:-1]]
+        hot = _hot(everything, rows, [np.frombuffer(k.as_py(), np.uint8) for k in table.column("kinds")], limit)
+        found = [r[m | _among(r, twice)] for r, m in zip(rows, several, strict=True)]
+        keep = [i for i, f in enumerate(found) if len(f)]
+        return pa.table(
+            {
+                "chunk": pa.array([table.column("chunk")[i].as_py() for i in keep], pa.int64()),
+                "bucket": pa.array([table.column("bucket")[i].as_py() for i in keep], pa.int32()),
+                "hashes": pa.array([found[i].tobytes() for i in keep], pa.binary()),
+                "hot": pa.array([found[i][_among(found[i], hot)].tobytes() for i in keep], pa.binary()),
+            }
+        )
+
+    return bucket
+
+
+def _keys(names: list[int], hashes: list[bytes]) -> np.ndarray:
+    """Buckets and the hashes of each as one ordered array."""
+    return np.sort(np.concatenate([(np.uint64(n) << np.uint64(32)) | np.frombuffer(s, np.uint32).astype(np.uint64) for n, s in zip(names, hashes, strict=True)]))
 
 
 def _send_stretches(buckets: int, shards: int):
@@ -191,21 +231,28 @@ def _send_stretches(buckets: int, shards: int):
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for chunk, ranks, sizes, text, names, shared in zip(*(b.column(k) for k in range(6)), strict=True):
+            for chunk, ranks, sizes, text, names, shared, hot in zip(*(b.column(k) for k in range(7)), strict=True):
                 rank, raw = np.frombuffer(ranks.as_py(), np.int64), text.as_py()
                 starts, data = _opened(sizes.as_py(), raw)
-                hashes, first, count = stretches(data, starts)
+                hashes, first, count, anchors = stretches(data, starts)
                 bucket, short = _short(hashes, buckets)
-                wanted = np.concatenate([(np.uint64(n) << np.uint64(32)) | np.frombuffer(s, np.uint32).astype(np.uint64) for n, s in zip(names.as_py(), shared.as_py(), strict=True)])
                 key = (bucket << np.uint64(32)) | short
-                chosen = np.flatnonzero(_among(key, np.sort(wanted)))
-                doc = np.searchsorted(starts, first[chosen], side="right") - 1
+                chosen = np.flatnonzero(_among(key, _keys(names.as_py(), shared.as_py())))
+                first, count = first[chosen], count[chosen]
                 shard = (hashes[chosen] >> np.uint64(7)) % np.uint64(shards)
+                apart = _among(key[chosen], _keys(names.as_py(), hot.as_py()))
+                if apart.any():
+                    n = count[apart]
+                    single = np.repeat(first[apart] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                    one = np.ones(len(single), np.int64)
+                    dealt = np.uint64(shards) + (_whole_hash(anchors, single, one) >> np.uint64(7)) % np.uint64(SPREAD * shards)
+                    first, count, shard = np.r_[first[~apart], single], np.r_[count[~apart], one], np.r_[shard[~apart], dealt]
+                doc = np.searchsorted(starts, first, side="right") - 1
                 order = np.argsort(shard, kind="stable")
                 out = []
                 for k, s in _grouped(shard[order].astype(np.int64)):
-                    at = chosen[order[s]]
-                    out.append((k, *_combined(raw, first[at], count[at], doc[order[s]], rank, starts)))
+                    at = order[s]
+                    out.append((k, *_combined(raw, first[at], count[at], doc[at], rank, starts)))
                 if out:
                     columns = list(zip(*out, strict=True))
                     yield pa.RecordBatch.from_arrays(
@@ -330,9 +377,9 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     own = docs.select(rank.alias("rank"), data.alias("text"), F.unhex(F.md5(data)).alias("digest")).filter(F.octet_length("text") >= WINDOW)
     single = own.join(bounded(copies.select("rank", "digest")), ["rank", "digest"], "left_anti").select("rank", "text")
     chunks = stage(single.mapInArrow(_chunks, "chunk long, ranks binary, sizes binary, digests binary, text binary"), "substring-chunks")
-    hashes = chunks.select("chunk", "sizes", "text").mapInArrow(_send_hashes(buckets), "bucket int, chunk long, hashes binary, several binary")
-    shared = hashes.groupBy("bucket").applyInArrow(_shared_hashes, "chunk long, bucket int, hashes binary")
-    shared = shared.groupBy("chunk").agg(F.collect_list("bucket").alias("names"), F.collect_list("hashes").alias("shared"))
+    hashes = chunks.select("chunk", "sizes", "text").mapInArrow(_send_hashes(buckets), "bucket int, chunk long, hashes binary, several binary, kinds binary")
+    shared = hashes.groupBy("bucket").applyInArrow(_shared_hashes(SHARD_BYTES // (2 * WINDOW - ANCHOR)), "chunk long, bucket int, hashes binary, hot binary")
+    shared = shared.groupBy("chunk").agg(F.collect_list("bucket").alias("names"), F.collect_list("hashes").alias("shared"), F.collect_list("hot").alias("hot"))
     met = chunks.select("chunk", "ranks", "sizes", "text").join(shared, "chunk")
     sent = met.mapInArrow(_send_stretches(buckets, shards), "shard int, chunk long, text binary, sizes binary, ranks binary, which binary, doc binary, at binary")
     spans = sent.groupBy("shard").applyInArrow(_sorted_shard, "chunk long, spans binary")

@@ -20,10 +20,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import stage, text_of
 
 #: Rows of the positives and of the unlabelled texts that the model is fitted on, at most (in expectation).
 SAMPLE = 6000
+#: Partitions that the sample is dealt to.
+LEAST_PARTS = 64
 #: Score from which a text is predicted to be good.
 THRESHOLD = 0.7
 SEED = 42
@@ -144,18 +146,27 @@ def fold(id_col: str) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), F.lit(FOLDS)).cast("int")
 
 
-def _matrix(docs: DataFrame, sample: int, rows: int, keys: list[str]) -> np.ndarray:
-    """Features of about ``sample`` rows out of ``rows``, taken by a hash of the keys, in a fixed order."""
-    share = min(1.0, sample / max(1, rows))
-    draw = F.shiftrightunsigned(F.xxhash64(F.lit(SEED), *keys), 12) / F.lit(float(1 << 52))
+def _matrix(docs: DataFrame, sample: int) -> np.ndarray:
+    """Features of about ``sample`` rows, in a fixed order.
+
+    A text with an id is drawn by a hash of both, and of its ``n`` copies a share of ``n``, rounded up or down by that hash:
+    however rows repeat, about ``sample`` vectors reach the driver, whatever the order and partitions of the rows.
+    """
+    keyed = docs.select(F.xxhash64(F.lit(SEED), "id", "text").alias("g"), "text")
+    groups = stage(keyed.groupBy("g").agg(F.count("*").alias("n")), "quality-groups")
+    share = min(1.0, sample / max(1, groups.agg(F.sum("n")).first()[0] or 0))
+    draw = F.shiftrightunsigned(F.xxhash64(F.lit(SEED + 2), "g"), 12) / F.lit(float(1 << 52))
+    drawn = groups.select("g", F.floor(F.col("n") * share + draw).alias("k")).filter("k > 0")
+    taken = keyed.join(F.broadcast(drawn), "g")  # groups: at most about SAMPLE, by the share
+    once = taken.repartition(LEAST_PARTS, "g").groupBy("g").agg(F.first("k").alias("k"), F.first("text").cast("binary").alias("text"))
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([features(t).tobytes() for t in b.column(1).to_pylist()], pa.binary())], ["draw", "x"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([features(t).tobytes() for t in b.column(2).to_pylist()], pa.binary())], ["g", "k", "x"])
 
-    taken = docs.withColumn("draw", draw).filter(F.col("draw") < share).select("draw", F.col("text").cast("binary").alias("text"))
-    got = sorted((r.draw, bytes(r.x)) for r in taken.mapInArrow(part, "draw double, x binary").collect())
-    return np.array([np.frombuffer(x, np.float32) for _, x in got]).reshape(-1, SIZE)
+    got = sorted((r.g, r.k, bytes(r.x)) for r in once.mapInArrow(part, "g long, k long, x binary").collect())
+    vectors = np.array([np.frombuffer(x, np.float32) for _, _, x in got]).reshape(-1, SIZE)
+    return np.repeat(vectors, [k for _, k, _ in got], axis=0) if got else vectors
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE) -> Model | None:
@@ -166,8 +177,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     # the sample of labels is drawn before the texts are read, so only its ids meet the texts
     share = min(1.0, sample / max(1, trusted.count()))
     drawn = trusted.filter(F.shiftrightunsigned(F.xxhash64(F.lit(SEED + 1), "id"), 12) / F.lit(float(1 << 52)) < share)
-    positive = _matrix(texts.join(F.broadcast(drawn), "id"), sample, 0, ["id"])  # ids only: at most about SAMPLE rows
-    unlabelled = _matrix(texts, sample, texts.select("id").count(), ["id"])
+    positive = _matrix(texts.join(F.broadcast(drawn), "id"), sample)  # ids only: at most about SAMPLE rows
+    unlabelled = _matrix(texts, sample)
     return fit(positive, unlabelled) if len(positive) and len(unlabelled) else None
 
 

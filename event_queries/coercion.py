@@ -289,7 +289,8 @@ def decimal_half_up(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- arrays: each embedding, in thousandths, as an array of the element type ------------------------------------
 
-_THOUSANDTH = "cast(floor(x * 1000) as bigint)"
+# A float factor: Spark takes float times integer as a double, SQL as a float, and just below a whole number their floors differ.
+_THOUSANDTH = "cast(floor(x * 1000F) as bigint)"
 # (declared element, element as JSON text in Spark, sum of landed elements in Spark, the same in the oracle)
 ARRAYS = {
     "integer": ("INTEGER", "cast(n as string)", "cast(e as bigint)", "n"),

@@ -5,12 +5,16 @@ import decimal
 import json
 import math
 
+import duckdb
+import numpy as np
 import pytest
 from hypothesis import given as sampled
 from hypothesis import settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from event_queries import coercion
+from oracle import compare
 from tidegate import Declared, SchemaError, TableSpec, cast_fields, decode_json, plan_rows, resolve_columns
 
 D = decimal.Decimal
@@ -284,3 +288,16 @@ def test_declared_types(text, expected):
 def test_unsupported_types(text):
     with pytest.raises(SchemaError):
         Declared.parse(text)
+
+
+@pytest.mark.parametrize("kind", ["integer", "double", "numeric", "nested"])
+def test_array_queries_round_elements_as_floats(spark, tmp_path, kind):
+    """Elements whose thousandfold is a whole number as a float, and just below it as a double."""
+    near = [x for x in (np.float32(k / 1000) for k in range(1, 1000)) if np.floor(x * np.float32(1000)) != np.floor(float(x) * 1000)]
+    assert near
+    rows = [(i, [float(x), float(-x)], 0) for i, x in enumerate(near[:20])]
+    spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    con = duckdb.connect()
+    con.execute(f"create view embeddings as select * from '{tmp_path}/embeddings.parquet/*.parquet'")
+    for name in (f"coerce_array_{kind}", f"coerce_array_{kind}_sql"):
+        assert compare(spark, con, str(tmp_path), coercion.QUERIES[name], coercion.ORACLES[name]) is None

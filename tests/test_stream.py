@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.errors import StreamingQueryException
 
+from event_queries import streams
 from tidegate import (
     ENVELOPE,
     BatchFailed,
@@ -356,3 +357,18 @@ def test_the_merge_statement_parses(spark):
     text = merge.merge_sql("cat.db.t`x", ["id", "a b", "v"], ["id"], ["v"], "batch")
     parsed = spark._jsparkSession.sessionState().sqlParser().parsePlan(text).toString()
     assert "MergeIntoTable" in parsed and parsed.count("=") >= 1
+
+
+def test_the_halves_of_a_streamed_log_are_not_one_file_and_are_not_sorted(spark, tmp_path, monkeypatch):
+    """Of events read in several parts, no batch comes from a single file; the session lets the sink write records as they come."""
+    root, sf = str(tmp_path / "run"), tmp_path / "sf"
+    spark.read.parquet("/root/testdata/sf0.001/events.parquet").repartition(6, "event_id").write.parquet(str(sf / "events.parquet"))
+    monkeypatch.setattr(streams, "scratch", lambda _: root)
+    spark.conf.set("spark.sql.files.openCostInBytes", 128 << 20)  # a file is a split
+    try:
+        got = streams.observed_throughput(spark, str(sf)).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert [(r.batches, r.records, r.landed, r.mib_agrees) for r in got] == [(2, 1000, 900, True)]
+    assert len(list((tmp_path / "run/log").glob("*.parquet"))) == 12
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "16"

@@ -68,6 +68,12 @@ def test_encoder_is_the_library():
         assert np.frombuffer(encoder.encode(s.encode()), "<u4").tolist() == encoder.tokenizer.encode(s, add_special_tokens=False).ids, s
 
 
+def test_encoder_remembers_a_stem_once():
+    encoder = tokens.WordEncoder(WORDS)
+    encoder.encode(b"alpha beta alpha, Beta")
+    assert sum(len(v) for v in vars(encoder).values() if isinstance(v, tokens._Remembered)) == len({"alpha", "beta", "alpha,", ",", "Beta"})
+
+
 def test_packing_covers_every_id_once(spark, texts):
     encoder = tokens.WordEncoder(WORDS)
     ids = {k: [*encoder.tokenizer.encode(t, add_special_tokens=False).ids, 1] for k, t in texts.items()}

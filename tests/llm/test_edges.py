@@ -1,6 +1,7 @@
 """Every operator and pipeline stage on awkward tables: nulls, empty and long texts, ties, repeats, clashing columns, no rows."""
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -95,3 +96,19 @@ def test_defined_results_of_the_awkward_rows(docs, labels):
     assert sorted((r.doc_id or 0, r.text) for r in kept if r.text and r.text.startswith("one")) == [(1, "one two three four five")] * 2
     assert [r.text for r in kept if r.doc_id == 5] == [" \t\n\n "] and [r.text for r in kept if r.doc_id == 3] == [None]
     assert {r.kept for r in outliers.quality_rules(docs).collect()} == {False}
+
+
+def test_batches_of_the_stages_are_bounded_in_bytes(spark, monkeypatch):
+    """4,000 texts of 3,000 bytes in one partition come in several batches."""
+
+    def sizes(docs, _):
+        return docs.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in batches), "n long")
+
+    monkeypatch.setattr(corpus_pipeline, "pack", sizes)
+    texts = spark.range(0, 4000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), 3000).alias("text"))
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    try:
+        got = [r.n for r in dict(corpus_pipeline.STAGES)["packing"](spark, texts, "").collect()]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", before)
+    assert sum(got) >= 12_000_000 and max(got) < 5_000_000

@@ -66,3 +66,16 @@ def test_negative_part_does_not_fall_far_below_zero():
     weights, bias = quality._descend(p, u, 0.9, 2000, decay=0.0)
     negative = np.logaddexp(0, u @ weights + bias).mean() - 0.9 * np.logaddexp(0, p @ weights + bias).mean()
     assert negative > -0.2
+
+
+def test_scoring_holds_few_rows_at_once(spark, monkeypatch):
+    """A batch of many short texts is not one matrix."""
+
+    class Sizes:
+        def score(self, x):
+            return np.full(len(x), float(len(x)))
+
+    monkeypatch.setattr(quality, "train", lambda *_: Sizes())
+    docs = spark.range(0, 3000, 1, 1).selectExpr("id as doc_id", "'a few words' as text")
+    scores = [r.score for r in quality.classify(docs, spark.createDataFrame([], "doc_id long, quality int")).collect()]
+    assert len(scores) == 3000 and min(scores) >= 1 and max(scores) <= 1000

@@ -28,6 +28,8 @@ SAMPLE = 6000
 LEAST_PARTS = 64
 #: Score from which a text is predicted to be good.
 THRESHOLD = 0.7
+#: Texts scored at once: a matrix of a megabyte, whatever the size of a batch.
+SCORED = 512
 SEED = 42
 FOLDS, HELD_OUT = 4, 2
 
@@ -195,8 +197,10 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = b.column(b.num_columns - 1).to_pylist()
-            scores = model.score(np.array([features(t) for t in texts]).reshape(-1, SIZE)) if model else np.full(len(texts), 0.5)
+            scores = np.full(b.num_rows, 0.5)
+            for lo in range(0, b.num_rows if model else 0, SCORED):
+                texts = b.column(b.num_columns - 1).slice(lo, SCORED)
+                scores[lo : lo + SCORED] = model.score(np.array([features(t.as_py()) for t in texts]))
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(scores, pa.float64())], [*others, "score"])
 
     return rows.mapInArrow(part, schema).select(

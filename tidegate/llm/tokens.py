@@ -11,7 +11,7 @@ import struct
 from functools import cache
 from unicodedata import normalize
 
-#: Words, and as many stems, that a worker has at hand before it puts them aside (and forgets what was aside): about 150 bytes each.
+#: Words and stems that a worker has at hand before it puts them aside (and forgets what was aside): about 150 bytes each.
 REMEMBERED = 250_000
 _TAIL = re.compile(rb"(.*[A-Za-z0-9\x80-\xff])([!-/:-@\[-`{-~]+)", re.DOTALL)
 _LATIN_END = "ɐ"
@@ -54,15 +54,15 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model, self.alphabet = self.tokenizer.model, _byte_alphabet()
-        self.words, self.parts = _Remembered(self._word, remembered), _Remembered(self._part, remembered)
+        self.words = _Remembered(self._word, remembered)  # a stem by itself is a word: both are kept here, once
 
     def _word(self, word: bytes) -> bytes:
         """A word and the punctuation after its last letter encode independently, unless it holds a special token."""
         if word.isalpha():  # ASCII letters only
-            return self.parts[word.lower()]
+            return self._part(word) if (low := word.lower()) == word else self.words[low]
         if b"<|" not in word and (m := _TAIL.fullmatch(word)) and (m[1][-1] < 128 or m[1].decode("utf-8")[-1].lower().isalpha()):
-            return self.parts[m[1].lower()] + self.parts[m[2]]
-        return self.parts[word]
+            return self.words[m[1].lower()] + self.words[m[2]]
+        return self._part(word)
 
     def _part(self, part: bytes) -> bytes:
         if part.isalpha():

@@ -212,13 +212,13 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return label_rows(prints, distinct, stage(links(distinct, radius), "simhash-links"), id_col, "simhash")
 
 
-def label_rows(prints: DataFrame, distinct: DataFrame, found: DataFrame, id_col: str, name: str) -> DataFrame:
-    """Each row of ``prints`` with the smallest ``first`` of its fingerprint's component under the links found."""
+def label_rows(prints: DataFrame, distinct: DataFrame, found: DataFrame, id_col: str, name: str, *more: str) -> DataFrame:
+    """Each row of ``prints`` with the smallest ``first`` of its fingerprint's component (``label``) under the links found."""
     label = components(found)
     named = distinct.join(label, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("label", "fp").alias("label"))
     named = stage(named, f"{name}-labels")
     smallest = named.groupBy("label").agg(F.min("first").alias("component_id"))
-    by_print = named.select("fp", "label").join(smallest, "label").select("fp", "component_id")
+    by_print = named.select("fp", "label").join(smallest, "label").select("fp", "label", "component_id")
     return prints.join(by_print, "fp").select(
-        F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+        F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", *more
     )
